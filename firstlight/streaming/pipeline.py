@@ -18,7 +18,7 @@ from firstlight.functions.clock import with_dt_hr
 from firstlight.operators.ingest import parse_logs, quarantine, to_dau_info, usable
 from firstlight.operators.ledger import offset_ledger
 from firstlight.sources.store import StorePaths
-from firstlight.streaming.upsert import batch_base, upsert_by_key
+from firstlight.streaming.upsert import batch_base, batch_metrics, upsert_by_key
 
 Metrics = Callable[[dict[str, Any]], None]
 
@@ -57,14 +57,14 @@ def process_batch(
         if not known or any(r["rejected"] for r in summary):
             rejected = quarantine(parsed).write.mode("overwrite")
             rejected.parquet(f"{store.quarantine}/batch_id={batch_id}")
-        written = 0
         if days is None or days:
-            records = to_dau_info(usable(parsed), tz, minute)
-            written = upsert_by_key(records, batch_id, store, keep, days)
+            upsert_by_key(to_dau_info(usable(parsed), tz, minute), batch_id, store, keep, days)
         if not known or any(r["offsets"] for r in summary):
             ledger = offset_ledger(parsed, batch_id).drop("batch_id").coalesce(1)
             ledger.write.mode("overwrite").parquet(f"{store.ledger}/batch_id={batch_id}")
         if on_metrics:
+            own = batch_metrics(batch.sparkSession, store, batch_id, days)
+            written = own.agg(F.coalesce(F.sum("written"), F.lit(0)).alias("n")).first()["n"]
             on_metrics({"batch_id": batch_id, "days": days, "written": written})
     finally:
         parsed.unpersist()

@@ -8,7 +8,9 @@ rows cost.  In exchange they forget a day after a while:
   of that day are dropped and counted in the query progress.
 * ``first_per_day_stream(ttl="processing")``: each key a fixed time after its
   first arrival, whatever its event time; nothing is dropped, a forgotten
-  device counts as new again.
+  device counts as new again.  Such a query runs empty batches for its clock,
+  so an ``availableNow`` trigger never ends it; and its workers import this
+  package, so ship it with ``--py-files``.
 * ``earliest_updates``: as ``event``, but re-emits a device when an earlier
   launch arrives late.
 """

@@ -11,7 +11,7 @@ from __future__ import annotations
 from typing import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstlight.operators.dedup import LAUNCH_ORDER, earlier_than_seen, first_per_day, new_to_day
@@ -57,17 +57,22 @@ def upsert_by_key(
     store: StorePaths,
     keep: str = "earliest",
     days: Iterable[str] | None = None,
-) -> int:
-    """Add a batch of activity records to the store; gives the number written.
+) -> None:
+    """Add a batch of activity records to the store.
 
     ``days``, when known, names the days of the records: only these are read
     back.  The result is the same without it.
     """
     stored = read_days(records.sparkSession, store, days).filter(F.col("batch_id") < batch_id)
-    written = Observation(f"written-{batch_id}")
-    new = unseen(records, stored, keep).observe(written, F.count("*").alias("n"))
-    write_versions(new, store.dau, batch_id)
-    return written.get["n"]
+    write_versions(unseen(records, stored, keep), store.dau, batch_id)
+
+
+def batch_metrics(
+    spark: SparkSession, store: StorePaths, batch_id: int, days: Iterable[str] | None = None
+) -> DataFrame:
+    """``dt, written``: records a batch wrote, by day; answered from the Parquet footers."""
+    own = read_days(spark, store, days).filter(F.col("batch_id") == batch_id)
+    return own.groupBy("dt").agg(F.count("*").alias("written"))
 
 
 def current(stored: DataFrame) -> DataFrame:
