@@ -43,8 +43,13 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 
 def new_to_day(batch: DataFrame, seen: DataFrame, keys: Sequence[str] = DAY_DEVICE) -> DataFrame:
-    """Rows of the batch whose key was not seen yet: first arrival wins."""
-    return batch.alias("n").join(seen.select(*keys).alias("s"), _same_key(keys), "left_anti")
+    """Rows of the batch whose key was not seen yet: first arrival wins.
+
+    Seen keys are made distinct first: a key seen very often then reaches the
+    join as one row, and the join uses the same shuffle.
+    """
+    seen = seen.select(*keys).distinct()
+    return batch.alias("n").join(seen.alias("s"), _same_key(keys), "left_anti")
 
 
 def earlier_than_seen(
@@ -55,7 +60,8 @@ def earlier_than_seen(
 ) -> DataFrame:
     """Rows of the batch that come before every seen row of their key, new keys included.
 
-    ``seen`` may hold several versions of a key; it is not aggregated first.
+    ``seen`` may hold several versions of a key, one per batch at most; it is
+    not aggregated first.
     """
     before = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order])
     not_later = before("s") <= before("n")

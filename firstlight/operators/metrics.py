@@ -131,18 +131,48 @@ def launch_count(launched: DataFrame) -> DataFrame:
     return launched.groupBy("dt").agg(F.count("*").alias("n")).select(_day_text(), "n")
 
 
+def daily_kpis(launched: DataFrame) -> DataFrame:
+    """``dt DATE, dau, launches, new_mid`` of every day, from one scan.
+
+    Launches are counted per device and day first; what follows sees one row
+    per device and day, however many launches a device has.
+    """
+    per_day = launched.groupBy("mid", F.to_date("dt").alias("dt")).agg(F.count("*").alias("n"))
+    first = F.min("dt").over(Window.partitionBy("mid"))
+    return (
+        per_day.withColumn("first_dt", first)
+        .groupBy("dt")
+        .agg(
+            F.count("*").alias("dau"),
+            F.sum("n").alias("launches"),
+            F.count_if(F.col("dt") == F.col("first_dt")).alias("new_mid"),
+        )
+    )
+
+
+def kpi_series(daily: DataFrame) -> DataFrame:
+    """One row per day with a column per KPI to rows ``id, dt, value``."""
+    kpis = [c for c in daily.columns if c != "dt"]
+    entries = F.array(*[F.struct(F.lit(k).alias("id"), F.col(k).alias("value")) for k in kpis])
+    return daily.select("dt", F.inline(entries)).select("id", "dt", "value")
+
+
 def kpi_day_over_day(daily: DataFrame) -> DataFrame:
     """``id, dt, value, previous, change_pct`` of rows ``id, dt, value``.
 
     Days without a row between a KPI's first and last day count as 0.  The
     change is NULL on the first day and after a day of 0.
     """
-    daily = daily.select("id", F.to_date("dt").alias("dt"), "value")
-    span = daily.groupBy("id").agg(F.min("dt").alias("_lo"), F.max("dt").alias("_hi"))
-    calendar = span.select("id", F.explode(F.sequence("_lo", "_hi")).alias("dt"))
-    dense = calendar.join(daily, ["id", "dt"], "left").withColumn("value", F.coalesce("value", F.lit(0)))
-    previous = F.lag("value").over(Window.partitionBy("id").orderBy("dt"))
-    rows = dense.withColumn("previous", previous)
+    w = Window.partitionBy("id").orderBy("dt")
+    daily = daily.select("id", F.to_date("dt").alias("_dt"), "value").withColumnRenamed("_dt", "dt")
+    # Each row also stands for the empty days up to the next row.
+    until = F.coalesce(F.date_sub(F.lead("dt").over(w), 1), F.col("dt"))
+    dense = daily.withColumn("until", until).select(
+        "id", F.explode(F.sequence("dt", "until")).alias("day"), F.col("dt").alias("real"), "value"
+    )
+    value = F.when(F.col("day") == F.col("real"), F.col("value")).otherwise(F.lit(0))
+    rows = dense.select("id", F.col("day").alias("dt"), value.alias("value"))
+    rows = rows.withColumn("previous", F.lag("value").over(w))
     change = F.try_divide((F.col("value") - F.col("previous")) * F.lit(100.0), F.col("previous"))
     return rows.select("id", _day_text(), "value", "previous", change.alias("change_pct"))
 

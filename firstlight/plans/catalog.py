@@ -395,14 +395,22 @@ def launch_count(spark, d):
     """,
 )
 def kpi_day_over_day(spark, d):
-    launched = _launches(spark, d)
-    kpi = lambda name, df: df.select(F.lit(name).alias("id"), "dt", F.col("n").alias("value"))
-    daily = (
-        kpi("dau", metrics.dau_total(launched))
-        .unionByName(kpi("launches", metrics.launch_count(launched)))
-        .unionByName(kpi("new_mid", metrics.new_devices(launched)))
-    )
-    return metrics.kpi_day_over_day(daily)
+    series = metrics.kpi_series(metrics.daily_kpis(_launches(spark, d)))
+    # A KPI's series runs from its first to its last day with a count.
+    return metrics.kpi_day_over_day(series.filter(F.col("value") > 0))
+
+
+@query(
+    "daily_kpis",
+    f"""
+    WITH {LAUNCHES}, first_seen AS (SELECT mid, min(dt) AS dt FROM l GROUP BY mid)
+    SELECT dt, count(DISTINCT mid) AS dau, count(*) AS launches,
+           (SELECT count(*) FROM first_seen s WHERE s.dt = l.dt) AS new_mid
+    FROM l GROUP BY dt
+    """,
+)
+def daily_kpis(spark, d):
+    return metrics.daily_kpis(_launches(spark, d)).withColumn("dt", F.col("dt").cast("string"))
 
 
 @query(

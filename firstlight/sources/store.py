@@ -57,9 +57,14 @@ class StorePaths:
 NO_DAY = "none"
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame made on the JVM side."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def init_store(spark: SparkSession, store: StorePaths) -> None:
     """Make the empty partition of a new store."""
-    empty = spark.createDataFrame([], DAU_STORE).drop("dt", "batch_id")
+    empty = no_rows(spark, DAU_STORE).drop("dt", "batch_id").coalesce(1)
     empty.write.mode("overwrite").parquet(f"{store.dau}/dt={NO_DAY}/batch_id=-1")
 
 
@@ -70,7 +75,7 @@ def read_or_empty(spark: SparkSession, schema: StructType, base: str, path: str
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
 
 
 def read_days(spark: SparkSession, store: StorePaths, days: Iterable[str] | None = None) -> DataFrame:

@@ -18,7 +18,8 @@ from firstlight.functions.clock import with_dt_hr
 from firstlight.operators.ingest import parse_logs, quarantine, to_dau_info, usable
 from firstlight.operators.ledger import offset_ledger
 from firstlight.sources.store import StorePaths
-from firstlight.streaming.upsert import batch_base, batch_metrics, upsert_by_key
+from firstlight.streaming.state import earliest_updates
+from firstlight.streaming.upsert import batch_base, batch_metrics, upsert_by_key, write_versions
 
 Metrics = Callable[[dict[str, Any]], None]
 
@@ -93,3 +94,33 @@ def start_pipeline(
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     writer = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**timing).start()
+
+
+def start_state_pipeline(
+    logs: DataFrame,
+    root: str,
+    checkpoint: str,
+    delay: str = "2 days",
+    tz: str = "UTC",
+    minute: str = "zero",
+    trigger: str | None = "5 seconds",
+) -> StreamingQuery:
+    """As :func:`start_pipeline` with ``keep="earliest"``, with the day's keys in streaming state.
+
+    A batch costs what its own rows cost, however many devices the day already
+    has: the choice for short triggers.  Launches of days more than ``delay``
+    behind the newest are not seen by the state; the query progress counts
+    them (``numRowsDroppedByWatermark``), and running :func:`process_batch`
+    over the landed logs of such a day adds them.  Unusable logs are skipped
+    here; a second query over the same source quarantines them.
+    """
+    store = StorePaths(root)
+    base = batch_base(logs.sparkSession, store, checkpoint)
+    records = to_dau_info(usable(parse_logs(logs.select("value"))), tz, minute)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write_versions(batch, store.dau, base + batch_id)
+
+    timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
+    writer = earliest_updates(records, delay).writeStream.outputMode("update").foreachBatch(run)
+    return writer.option("checkpointLocation", checkpoint).trigger(**timing).start()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from firstlight.operators.ingest import route_logs
+from firstlight.operators.ingest import parse_logs, quarantine, route_logs
 from firstlight.sources.logs import kafka_sink_options
 
 
@@ -30,6 +30,14 @@ def land_raw_stream(
     return _start(writer, checkpoint, trigger)
 
 
+def quarantine_stream(
+    logs: DataFrame, path: str, checkpoint: str, trigger: str | None = "5 seconds"
+) -> StreamingQuery:
+    """``value, reason`` of unusable bodies."""
+    rejected = quarantine(parse_logs(logs.select("value")))
+    return _start(rejected.writeStream.format("parquet").option("path", path), checkpoint, trigger)
+
+
 def route_stream_to_files(
     logs: DataFrame, path: str, checkpoint: str, trigger: str | None = "5 seconds"
 ) -> StreamingQuery:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from firstlight.operators.dedup import LAUNCH_ORDER, earlier_than_seen, first_per_day, new_to_day
 from firstlight.schemas import DAU_STORE, RUNS
-from firstlight.sources.store import StorePaths, init_store, read_days, read_or_empty
+from firstlight.sources.store import StorePaths, init_store, no_rows, read_days, read_or_empty
 
 COMPACTED = -1
 
@@ -104,7 +104,7 @@ def compact(spark: SparkSession, store: StorePaths, day: str) -> None:
         folded = spark.read.schema(DAU_STORE).parquet(aside)
     _replace_day(folded, store, day)
     # Empty the copy, so that a later compaction starts from the store again.
-    spark.createDataFrame([], DAU_STORE).drop("dt").write.mode("overwrite").parquet(aside)
+    no_rows(spark, DAU_STORE).drop("dt").coalesce(1).write.mode("overwrite").parquet(aside)
 
 
 def _replace_day(folded: DataFrame, store: StorePaths, day: str) -> None:
@@ -131,5 +131,6 @@ def batch_base(spark: SparkSession, store: StorePaths, checkpoint: str) -> int:
     if top is None:
         init_store(spark, store)
     base = 0 if top is None else top + 1
-    spark.createDataFrame([(checkpoint, base)], RUNS).coalesce(1).write.mode("append").parquet(store.runs)
+    run = spark.range(1).select(F.lit(checkpoint).alias("checkpoint"), F.lit(base).cast("long").alias("batch_base"))
+    run.coalesce(1).write.mode("append").parquet(store.runs)
     return base

@@ -79,6 +79,20 @@ def test_new_devices_and_kpis(spark, launched, sample):
     assert rows(metrics.kpi_totals(launched, "1999-01-01", seen), "id", "value") == [("dau", 0), ("new_mid", 0)]
 
 
+def test_daily_kpis_agree_with_the_single_ones(launched):
+    daily = metrics.daily_kpis(launched).withColumn("dt", F.col("dt").cast("string"))
+    new = dict(rows(metrics.new_devices(launched)))
+    total, count = dict(rows(metrics.dau_total(launched))), dict(rows(metrics.launch_count(launched)))
+    assert rows(daily, "dt", "dau", "launches", "new_mid") == [(d, total[d], count[d], new.get(d, 0)) for d in sorted(total)]
+    assert metrics.kpi_series(daily).count() == 3 * len(total)
+
+
+def test_day_over_day_reads_its_input_once(launched):
+    df = metrics.kpi_day_over_day(metrics.kpi_series(metrics.daily_kpis(launched)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "Join" not in plan
+
+
 def test_launch_count(launched, sample):
     assert dict(rows(metrics.launch_count(launched))) == Counter(d for d, _, _ in sample)
 

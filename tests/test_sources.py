@@ -46,23 +46,24 @@ def test_point_lookup_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(id,42)" in found._jdf.queryExecution().executedPlan().toString()
 
 
-def test_scratch_dir_is_shared_or_refused(spark, monkeypatch):
-    assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "hdfs://shared/tmp/")
-        assert scratch_dir(spark, "a").startswith("hdfs://shared/tmp/a-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if old is None else spark.conf.set("spark.checkpoint.dir", old)
-
-    class Cluster:
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return {"spark.master": "yarn"}.get(key, default)
+class FakeSession:
+    """Settings of a session that is not running here."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
 
+
+def test_scratch_dir_is_shared_or_refused(spark):
+    assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
+    cluster = FakeSession(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/tmp/")
+    assert scratch_dir(cluster, "a").startswith("hdfs://shared/tmp/a-")
     with pytest.raises(ValueError):
-        scratch_dir(Cluster, "a")
+        scratch_dir(FakeSession(spark_master="yarn"), "a")
+    assert "firstlight-" in scratch_dir(FakeSession(spark_master="local[4]"), "a")
 
 
 def test_file_stream_shape(spark, tmp_path):

@@ -14,7 +14,7 @@ from firstlight.sources.logs import read_file_log_stream
 from firstlight.sources.store import StorePaths, read_day, read_days
 from firstlight.streaming import pipeline
 from firstlight.streaming.first_seen import read_first_seen, update_first_seen
-from firstlight.streaming.sinks import land_raw_stream, route_stream_to_files
+from firstlight.streaming.sinks import land_raw_stream, quarantine_stream, route_stream_to_files
 from firstlight.streaming.state import earliest_updates, first_per_day_stream
 from firstlight.streaming.upsert import batch_metrics, compact, current, upsert_by_key
 
@@ -327,6 +327,30 @@ def test_earliest_updates_emit_new_and_improved_only(spark, tmp_path):
     assert len(got) == len(set(got)) and len(got) < len(want) * 2
 
 
+def test_state_pipeline_equals_batch(spark, env, tmp_path):
+    feed, store, _, checkpoint = env
+    values = bodies(15)
+
+    def run():
+        pipeline.start_state_pipeline(feed.stream(), store.root, checkpoint, "5 days", trigger=None).awaitTermination()
+
+    feed.add(values[200:] + ["broken {"])
+    feed.add(values[100:200])
+    run()
+    feed.add(values[:150])
+    run()
+    assert stored(spark, store) == batch_result(spark, values)
+    # Launches behind the watermark are added by a batch import.
+    old = [log("z", ms("2023-12-01 05:00"))]
+    feed.add(old)
+    run()
+    df = spark.createDataFrame([(v, "start_log", 0, None) for v in old], RAW_LOG)
+    pipeline.process_batch(df, 100, store)
+    assert stored(spark, store) == batch_result(spark, values + old)
+    quarantine_stream(feed.stream(), str(tmp_path / "bad"), str(tmp_path / "cq"), trigger=None).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == [("broken {", "bad_json")]
+
+
 def test_upsert_without_named_days(spark, tmp_path):
     store = StorePaths(str(tmp_path))
     values = bodies(14)
