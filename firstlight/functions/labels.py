@@ -31,3 +31,8 @@ def age_band(age: Column) -> Column:
 
 def gender_name(gender: Column) -> Column:
     return F.when(gender == "M", GENDER_NAMES["M"]).when(gender == "F", GENDER_NAMES["F"])
+
+
+def thousands(n: Column) -> Column:
+    """A count as shown on a tile: 2702 as 2,702."""
+    return F.format_number(n, 0)

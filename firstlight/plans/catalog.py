@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from firstlight.functions.predicates import term_in_array
 from firstlight.functions.text import match_text
 from firstlight.operators import dedup, ingest, ledger, metrics, sale
+from firstlight.operators.documents import read_documents, upsert_documents
 from firstlight.operators.search import search
 from firstlight.plans import dashboard, tables
 from firstlight.session import scratch_dir
@@ -198,8 +199,8 @@ def first_per_day_stream_query(spark, d):
 def dau_total_stream(spark, d):
     """The low-latency form: first arrivals from streaming state, appended to a table."""
     out, checkpoint = scratch_dir(spark, "arrivals"), scratch_dir(spark, "checkpoint")
-    source = spark.readStream.schema(tables.events(spark, d).schema).option("pathGlobFilter", "events.parquet")
-    records = ingest.with_dt_hr(tables.logs(source.parquet(d))).withColumns(
+    source = spark.readStream.schema(tables.events(spark, d).schema).parquet(f"{d}/events*.parquet")
+    records = ingest.with_dt_hr(tables.logs(source)).withColumns(
         {"ar": F.lit(None).cast("string"), "mi": F.lit("00")}
     )
     arrivals = first_per_day_stream(records.select(*FIRST_COLUMNS))
@@ -560,6 +561,27 @@ def search_match_term(spark, d):
     return hits.select("id", "name", F.col("doubanScore").cast("double").alias("score"), "name_hl")
 
 
+@query(
+    "upsert_documents",
+    """
+    SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN 'promo ' || p_name ELSE p_name END AS name,
+           CAST(CAST(CASE WHEN p_type = 'PROMO' THEN p_retailprice / 2 ELSE p_retailprice END AS FLOAT) AS DOUBLE) AS score,
+           CAST(2 AS INTEGER) AS entries
+    FROM part
+    """,
+)
+def upsert_documents_query(spark, d):
+    """All parts as documents, then the promotion parts written again with a new name and half the price."""
+    path = scratch_dir(spark, "documents")
+    docs = tables.nested_documents(spark, d)
+    upsert_documents(docs, path, 0)
+    promo = docs.filter(term_in_array(F.col("actorList"), "name", "PROMO"))
+    changed = {"name": F.concat(F.lit("promo "), "name"), "doubanScore": (F.col("doubanScore") / 2).cast("float")}
+    upsert_documents(promo.withColumns(changed), path, 1)
+    newest = read_documents(spark, path, docs.schema)
+    return newest.select("id", "name", F.col("doubanScore").cast("double").alias("score"), F.size("actorList").alias("entries"))
+
+
 @query(
     "match_documents",
     """

@@ -32,6 +32,23 @@ def build_session(app: str = "firstlight", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def cluster_settings(cores: int, input_bytes: int) -> dict[str, str]:
+    """Partition counts and sizes for a cluster of ``cores`` reading ``input_bytes``.
+
+    Shuffles start with partitions of about 128 MB of the input (three per
+    core at least) and AQE joins the small ones; scans read 256 MB at a time.
+    Streaming state keeps the partition count of its first start, so start a
+    stateful stream with the count it needs.
+    """
+    partitions = max(3 * cores, -(-input_bytes // (128 * 2**20)))
+    return {
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under ``spark.checkpoint.dir``.
 

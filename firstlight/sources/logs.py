@@ -33,7 +33,7 @@ def kafka_source_options(
     servers: str,
     topic: str,
     group: str | None = DEFAULT_GROUP,
-    offsets: Mapping[int, int] | None = None,
+    offsets: Mapping[int, int] | str | None = None,
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
@@ -41,12 +41,13 @@ def kafka_source_options(
 
     Spark tracks offsets in the checkpoint and never commits to the group;
     the group id only names the consumers.  ``min_partitions`` splits large
-    topic partitions over more tasks.
+    topic partitions over more tasks.  ``offsets`` may be a ready
+    ``startingOffsets`` text.
     """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting_offsets(topic, offsets),
+        "startingOffsets": offsets if isinstance(offsets, str) else starting_offsets(topic, offsets),
         "failOnDataLoss": "true",
     }
     if group:

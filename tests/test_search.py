@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from firstlight.functions.predicates import bin_values, bool_query, term_in_array
 from firstlight.functions.text import highlight, match_text, query_terms, tokens
-from firstlight.operators.search import documents_from_json, page_of_row, paginate, search, search_after
+from firstlight.operators.documents import documents_from_json, read_documents, upsert_documents
+from firstlight.operators.search import page_of_row, paginate, search, search_after
 from firstlight.schemas import NESTED_DOC
 
 MOVIES = [
@@ -66,7 +67,7 @@ def test_match_equals_token_comparison(spark):
 
 def test_highlight_markers(spark):
     df = spark.createDataFrame([("a cat, Cat; concat",)], "t string")
-    assert df.select(highlight(F.col("t"), "cat", "$<", ">\\")).first()[0] == "a $<cat>\\, $<Cat>\; concat"
+    assert df.select(highlight(F.col("t"), "cat", "$<", ">\\")).first()[0] == "a $<cat>\\, $<Cat>\\; concat"
 
 
 def test_pages_and_keyset_agree(spark):
@@ -98,3 +99,15 @@ def test_bins(spark):
     df = spark.createDataFrame([(v,) for v in (-1.0, 0.0, 99.0, 100.0, 250.0, 599.0, 600.0, 601.0, None)], "v double")
     got = [r[0] for r in df.select(bin_values(F.col("v"), (0, 100, 200, 300, 400, 500, 600))).collect()]
     assert got == [None, 0, 0, 1, 2, 5, 5, None, None]
+
+
+def test_documents_last_write_wins(spark, movies, tmp_path):
+    path = str(tmp_path / "docs")
+    assert read_documents(spark, path, NESTED_DOC).count() == 0
+    upsert_documents(movies, path, 0)
+    upsert_documents(documents_from_json(spark, ['{"id":3,"name":"new","doubanScore":1.0,"actorList":[]}'], NESTED_DOC), path, 1)
+    back = read_documents(spark, path, NESTED_DOC)
+    assert back.schema == NESTED_DOC and back.count() == len(MOVIES)
+    assert rows(back.filter("id IN (1, 3)"), "id", "name") == [(1, "Operation Red River"), (3, "new")]
+    upsert_documents(movies, path, 1)  # the same version again
+    assert rows(read_documents(spark, path, NESTED_DOC).filter("id = 3"), "name") == [("red dawn",)]
