@@ -11,7 +11,7 @@ from firstlight.functions.predicates import term_in_array
 from firstlight.functions.text import match_text
 from firstlight.operators import dedup, ingest, ledger, metrics, sale
 from firstlight.operators.documents import read_documents, upsert_documents
-from firstlight.operators.search import search
+from firstlight.operators.search import search, search_after
 from firstlight.plans import dashboard, tables
 from firstlight.session import scratch_dir
 from firstlight.sources.logs import read_file_log_stream
@@ -534,9 +534,37 @@ def category_sales(spark, d):
     return sale.category_sales(sales, tables.skus(spark, d))
 
 
+@query(
+    "category_list",
+    """
+    WITH c AS (SELECT p.p_type AS name, CAST(sum(l.l_quantity) AS BIGINT) AS num
+               FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY p.p_type)
+    SELECT '{"data":[' || string_agg('{"name":"' || name || '","num":' || num || '}', ',' ORDER BY name) || ']}' AS body
+    FROM c
+    """,
+)
+def category_list(spark, d):
+    known = category_sales(spark, d).filter(F.col("name").isNotNull())
+    return dashboard.named_list(known, "name", "num", wrap="data")
+
+
 # ---------------------------------------------------------------- search
 
 
+@query(
+    "search_after",
+    """
+    SELECT p_partkey AS id, p_name AS name, CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE) AS score FROM part
+    WHERE CAST(p_retailprice AS FLOAT) < 950 OR (CAST(p_retailprice AS FLOAT) = 950 AND p_partkey > 50)
+    ORDER BY score DESC, id LIMIT 20
+    """,
+)
+def search_after_query(spark, d):
+    """The page after the row with score 950 and id 50."""
+    page = search_after(tables.nested_documents(spark, d), [("doubanScore", "desc"), ("id", "asc")], [950.0, 50], 20)
+    return page.select("id", "name", F.col("doubanScore").cast("double").alias("score"))
+
+
 @query(
     "search_match_term",
     """

@@ -104,6 +104,7 @@ def start_state_pipeline(
     tz: str = "UTC",
     minute: str = "zero",
     trigger: str | None = "5 seconds",
+    files_per_day: int = 8,
 ) -> StreamingQuery:
     """As :func:`start_pipeline` with ``keep="earliest"``, with the day's keys in streaming state.
 
@@ -113,13 +114,14 @@ def start_state_pipeline(
     them (``numRowsDroppedByWatermark``), and running :func:`process_batch`
     over the landed logs of such a day adds them.  Unusable logs are skipped
     here; a second query over the same source quarantines them.
+    ``files_per_day`` tasks write each day of a batch.
     """
     store = StorePaths(root)
     base = batch_base(logs.sparkSession, store, checkpoint)
     records = to_dau_info(usable(parse_logs(logs.select("value"))), tz, minute)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_versions(batch, store.dau, base + batch_id)
+        write_versions(batch, store.dau, base + batch_id, files_per_day)
 
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     writer = earliest_updates(records, delay).writeStream.outputMode("update").foreachBatch(run)

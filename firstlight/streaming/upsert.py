@@ -8,6 +8,7 @@ batch ids, so a retry after any failure gives the same store.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterable
 
 from pyspark.errors import AnalysisException
@@ -35,16 +36,20 @@ def unseen(records: DataFrame, stored: DataFrame, keep: str) -> DataFrame:
     raise ValueError("keep is 'earliest' or 'arrival'")
 
 
-def write_versions(records: DataFrame, path: str, batch_id: int) -> None:
+def write_versions(records: DataFrame, path: str, batch_id: int, files_per_day: int | None = None) -> None:
     """Write one batch's versions, replacing what an earlier try of the batch wrote.
 
     The rebalance hint joins small files and lets AQE split a day that holds
-    most of the rows.
+    most of the rows.  Stateful streams run without AQE; they name the number
+    of tasks, and files, a day is spread over.
     """
+    versions = records.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if files_per_day is None:
+        spread = versions.hint("rebalance", "dt")
+    else:
+        spread = versions.repartition("dt", F.pmod(F.xxhash64("mid"), F.lit(files_per_day)))
     (
-        records.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .hint("rebalance", "dt")
-        .write.mode("overwrite")
+        spread.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "batch_id")
         .parquet(path)
@@ -84,27 +89,32 @@ def compact(spark: SparkSession, store: StorePaths, day: str) -> None:
     """Fold the versions of a closed day into one partition.
 
     Run it between batches, on days whose batches are all committed.  The
-    folded rows are written aside first and then replace the day's folder; a
-    run that died in between is finished by running it again.
+    folded rows are written aside first and then replace the day's folder.
+    Copies an interrupted run left aside are folded in again: their rows are
+    versions like any other, so the result is the same and nothing is lost.
     """
     aside = f"{store.compacting}/dt={day}"
+    versions = read_days(spark, store, [day]).unionByName(_set_aside(spark, aside))
+    if versions.isEmpty():
+        return
+    copy = f"{aside}/copy={uuid.uuid4().hex}"
+    rows = current(versions).withColumn("batch_id", F.lit(COMPACTED).cast("long"))
+    rows.hint("rebalance").write.mode("overwrite").parquet(copy)
+    _replace_day(spark.read.schema(DAU_STORE).parquet(copy), store, day)
+    _clear(spark, aside)
+
+
+def _set_aside(spark: SparkSession, aside: str) -> DataFrame:
     try:
-        folded = spark.read.schema(DAU_STORE).parquet(aside)
-        finished = not folded.isEmpty()
+        return spark.read.schema(DAU_STORE).option("recursiveFileLookup", "true").parquet(aside)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        finished = False
-    if not finished:
-        versions = read_days(spark, store, [day])
-        if versions.isEmpty():
-            return
-        rows = current(versions).drop("dt").hint("rebalance")
-        rows.withColumn("batch_id", F.lit(COMPACTED).cast("long")).write.mode("overwrite").parquet(aside)
-        folded = spark.read.schema(DAU_STORE).parquet(aside)
-    _replace_day(folded, store, day)
-    # Empty the copy, so that a later compaction starts from the store again.
-    no_rows(spark, DAU_STORE).drop("dt").coalesce(1).write.mode("overwrite").parquet(aside)
+        return no_rows(spark, DAU_STORE)
+
+
+def _clear(spark: SparkSession, aside: str) -> None:
+    no_rows(spark, DAU_STORE).coalesce(1).write.mode("overwrite").parquet(aside)
 
 
 def _replace_day(folded: DataFrame, store: StorePaths, day: str) -> None:

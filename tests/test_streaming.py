@@ -199,6 +199,27 @@ def test_compaction_that_died_half_way(spark, env, monkeypatch):
     assert stored(spark, store) == batch_result(spark, values)
 
 
+def test_late_records_after_a_compaction_that_did_not_clean_up(spark, env, monkeypatch):
+    feed, store, run, _ = env
+    values = bodies(16)
+    feed.add(values[:300])
+    run()
+    import firstlight.streaming.upsert as upsert
+
+    def dies(spark, aside):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "_clear", dies)
+        with pytest.raises(RuntimeError):
+            compact(spark, store, "2024-01-02")
+    feed.add(values[300:])
+    run()
+    compact(spark, store, "2024-01-02")
+    assert stored(spark, store) == batch_result(spark, values)
+    assert rows(read_day(spark, store, "2024-01-02").select("batch_id").distinct()) == [(-1,)]
+
+
 def test_reading_a_day_lists_only_that_day(spark, env):
     feed, store, run, _ = env
     feed.add(bodies(8))
