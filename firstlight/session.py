@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,22 +42,27 @@ def cluster_settings(cores: int, input_bytes: int) -> dict[str, str]:
     partitions = max(3 * cores, -(-input_bytes // (128 * 2**20)))
     return {
         "spark.sql.shuffle.partitions": str(3 * cores),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "256m",
     }
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path under ``spark.checkpoint.dir``.
+    """A new folder path under ``spark.checkpoint.dir``, removed when the session's JVM ends.
 
-    A local session with the setting unset (tests) gets a temporary folder; a
-    cluster session with the setting unset is refused, since a machine-local
-    folder is not visible to the executors.
+    With the setting unset the session's warehouse folder is used, which a
+    cluster must share as well: a machine-local warehouse is refused there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        local_path = shared.startswith("/") or shared.startswith("file:")
+        master = spark.conf.get("spark.master", "")
+        if local_path and not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        shared = tempfile.mkdtemp(prefix="firstlight-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        shared = f"{shared.rstrip('/')}/_scratch"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path

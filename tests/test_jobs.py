@@ -51,6 +51,6 @@ def test_a_source_is_needed():
 
 def test_settings_and_labels(spark):
     big = cluster_settings(4000, 100 * 2**40)
-    assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 100_000
+    assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 819_200
     assert cluster_settings(8, 2**30)["spark.sql.shuffle.partitions"] == "24"
     assert spark.range(2702, 2703).select(thousands(F.col("id"))).first()[0] == "2,702"

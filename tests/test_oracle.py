@@ -15,7 +15,7 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(set(entry_point.catalog.queries())))
 def test_query_equals_sql(spark, con, name):
     df = entry_point.queries()[name](spark, SF)
     sql = entry_point.oracle_sql()[name]

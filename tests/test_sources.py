@@ -59,11 +59,11 @@ class FakeSession:
 
 def test_scratch_dir_is_shared_or_refused(spark):
     assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
-    cluster = FakeSession(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/tmp/")
-    assert scratch_dir(cluster, "a").startswith("hdfs://shared/tmp/a-")
-    with pytest.raises(ValueError):
-        scratch_dir(FakeSession(spark_master="yarn"), "a")
-    assert "firstlight-" in scratch_dir(FakeSession(spark_master="local[4]"), "a")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    assert scratch_dir(spark, "a").startswith(warehouse)
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch_dir(FakeSession(spark_master=master, spark_sql_warehouse_dir="file:/tmp/warehouse"), "a")
 
 
 def test_file_stream_shape(spark, tmp_path):
