@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstlight.llm import exact_dedup, warc
+from firstlight.llm import decontam, exact_dedup, jaccard_join, token_counts, warc, wavelet
 from firstlight.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,56 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+@query("op10_wavelet_ids")
+def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+@query(
+    "op6_decontaminate",
+    f"""
+    WITH words AS (
+      SELECT doc_id, regexp_extract_all({LOWERED}, '{decontam.WORD}') AS w FROM documents),
+    items AS (
+      SELECT item_id, regexp_extract_all({LOWERED}, '{decontam.WORD}') AS w FROM benchmark),
+    sized AS (SELECT item_id, w, least({decontam.WINDOW}, len(w)) AS size FROM items WHERE len(w) > 0),
+    win AS (
+      SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+      FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+    places AS (
+      SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+      FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM words, (SELECT DISTINCT size FROM sized) WHERE len(w) >= size)),
+    occ AS (SELECT doc_id, i, p.size, item_id FROM places p JOIN win USING (size, win)),
+    hit AS (
+      SELECT doc_id, count(DISTINCT spot) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM occ) GROUP BY doc_id),
+    found AS (
+      SELECT doc_id, count(DISTINCT item_id) AS n_items,
+             string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+      FROM occ GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"), width=4, threshold=85)
