@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstlight.llm import decontam, exact_dedup, jaccard_join, token_counts, warc, wavelet
+from firstlight.llm import decontam, exact_dedup, jaccard_join, language_id, token_counts, warc, wavelet
 from firstlight.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(table(spark, sf_dir, "documents"), width=4, threshold=85)
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_held_out(table(spark, sf_dir, "documents"))

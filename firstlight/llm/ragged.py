@@ -80,12 +80,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about ``limit`` bytes of text; one longer text is a slice of its own."""
+def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``limit`` bytes of text and at most ``rows`` rows; one longer text is a slice of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     total, begin = 0, 0
     for i, n in enumerate(lengths):
-        if i > begin and total + n > limit:
+        if i > begin and (total + n > limit or i - begin >= rows):
             yield batch.slice(begin, i - begin)
             begin, total = i, 0
         total += int(n)
