@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstlight.llm import decontam, exact_dedup, jaccard_join, language_id, token_counts, warc, wavelet
+from firstlight.llm import decontam, exact_dedup, jaccard_join, language_id, token_counts, toxicity, warc, wavelet
 from firstlight.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,8 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_language_id")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_held_out(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
