@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstlight.llm import decontam, exact_dedup, jaccard_join, language_id, token_counts, toxicity, warc, wavelet
+from firstlight.llm import decontam, exact_dedup, jaccard_join, language_id, sentencepieces, token_counts, toxicity, warc, wavelet
 from firstlight.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
