@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstlight.llm import decontam, exact_dedup, jaccard_join, language_id, sentencepieces, token_counts, toxicity, warc, wavelet
+from firstlight.llm import context_tree, decontam, exact_dedup, jaccard_join, language_id, sentencepieces, token_counts, toxicity, warc, wavelet
 from firstlight.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sentencepiece")
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+@query("op2_context_tree")
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_held_out(table(spark, sf_dir, "documents"))
