@@ -42,6 +42,8 @@ PRIOR_DOCS = 2.0
 BOUND = 30.0
 # Nats of evidence that a feature needs against chance.
 SIGNIFICANCE = 16.0
+# Below this share of toxic documents a feature says nothing against a text.
+LEAST_SHARE = 0.5
 CHUNK_ROWS = 4096
 
 # What a look-alike may stand for.
@@ -376,7 +378,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     # Chernoff bound of the binomial tail: n times the divergence of the share from the base rate.
     p, q = min(max(base, 1e-9), 1 - 1e-9), np.clip(share, 1e-12, 1 - 1e-12)
     evidence = n * (q * np.log(q / p) + (1 - q) * np.log((1 - q) / (1 - p)))
-    strong = np.sort(keys[(share > base) & (evidence >= SIGNIFICANCE)])
+    strong = np.sort(keys[(share >= LEAST_SHARE) & (share > base) & (evidence >= SIGNIFICANCE)])
     under = spark.sparkContext.broadcast(strong)
 
     def below(batches):
@@ -440,6 +442,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text is not predicted toxic, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = sent.value
+        restore = Restorer(CharModel(m.chars))
+        for batch in batches:
+            for b in chunks(batch, rows=CHUNK_ROWS):
+                keep = m.probability(m.strongest(b.column("text"), restore)) < 0.5 if len(m.keys) else np.ones(b.num_rows, dtype=bool)
+                yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(docs: DataFrame):
     """Whether a row's label may not be learned: crc32 of the id modulo 5 is 0."""
     return F.coalesce(crc32_of_id() % 5 == 0, F.lit(False))
