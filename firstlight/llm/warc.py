@@ -94,6 +94,8 @@ def parse_record(raw: bytes) -> tuple[dict, int]:
     split = raw.find(b"\r\n\r\n")
     if split < 0:
         raise Damaged("header without end")
+    if b"\0" in raw[:split]:
+        raise Damaged("null byte in the header")
     head = {}
     for line in raw[:split].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
@@ -109,6 +111,8 @@ def parse_record(raw: bytes) -> tuple[dict, int]:
     block = raw[begin : begin + length]
     if length < 0 or len(block) < length or raw[begin + length : begin + length + 4] != b"\r\n\r\n":
         raise Damaged("wrong length")
+    if not head.get("warc-type") or not head.get("warc-record-id"):
+        raise Damaged("no type or no id")
     record = {"page_id": page, "url": head.get("warc-target-uri"), "record_type": head.get("warc-type"), "refers_to": refers}
     digest = head.get("warc-payload-digest", "")
     try:
@@ -229,19 +233,26 @@ def _places(part: bytes, mark: bytes) -> Iterator[int]:
 
 
 def salvage(file, size: int, begin: int = 0, end: int | None = None) -> Iterator[dict]:
-    """Records that begin in [begin, end) and gaps found there, in file order."""
+    """Records that begin in [begin, end) and gaps behind them, in file order.
+
+    A range that does not begin the file starts at its first valid record;
+    what stands before that is told by the range of the record before.
+    """
     window, end = _Window(file, size), size if end is None else end
-    at = begin if begin == 0 else _search(window, begin)
-    while at < end:
+    at, inside = (begin, True) if begin == 0 else (_search(window, begin), False)
+    while at < size and (at < end or inside):
         try:
             record, length = _valid_at(window, at)
         except Damaged as e:
             after = _search(window, at + 1)
             yield {"gap_begin": at, "gap_end": after, "gap_reason": str(e)}
             at = after
+            inside = False
             continue
+        if at >= end:
+            return
         yield record
-        at += length
+        at, inside = at + length, True
 
 
 def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, level: int = LEVEL) -> DataFrame:
