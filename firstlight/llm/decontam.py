@@ -133,3 +133,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", listed).cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
+    hit = occurrences(docs, benchmark, window, shingle).select(F.col("key_id").alias("hit_id"), F.col("key_text").alias("hit_text")).distinct()
+    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("hit_text"))
+    return docs.join(hit, same, "left_anti")

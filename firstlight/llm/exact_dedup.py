@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firstlight.llm.decontam import lowered
 from firstlight.llm.ragged import lower_ascii, mix
 from firstlight.llm.tables import shuffle_partitions, stored
 
@@ -204,3 +205,12 @@ def dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).cast("long")).first()[0]
     old = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(True))
     return dedup_batch(docs.filter(old), docs.filter(~old), bucket_keys)
+
+
+def without_copies(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of rows of one id and equal text one stays."""
+    stays = stored(dedup(docs, bucket_keys).filter("kept").select(F.col("doc_id").alias("stay_id"), "text_sha256").distinct(), "dedup-kept")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = docs.withColumn("_sha", F.sha2(lowered(text).cast("binary"), 256))
+    kept = own.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (F.col("_sha") == F.col("text_sha256")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_sha"]).drop("_sha")

@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from firstlight.llm.ragged import chunks, mix
 
@@ -279,8 +280,9 @@ def doc_keys(column: pa.Array) -> np.ndarray:
     return mix(np.array([x or 0 for x in column.to_pylist()], dtype=np.int64).view(np.uint64))
 
 
-def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """``doc_id, text, ids``: the piece ids of every row, with its text."""
+def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
+    """``doc_id, text, ids`` and the columns in ``keep``: the piece ids of every row, with its text."""
+    keep = keep or []
 
     def run(batches):
         encoder = Encoder(load(model), dropout, seed)
@@ -289,9 +291,10 @@ def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SE
                 ids, n = encoder([t or "" for t in b.column("text").to_pylist()], doc_keys(b.column("doc_id")))
                 offsets = np.append(0, np.cumsum(n)).astype(np.int32)
                 rows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), rows], ["doc_id", "text", "ids"])
+                yield b.append_column("ids", rows)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text string, ids array<int>")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *keep)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -303,8 +306,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             texts = [decode_ids(pieces, x) for x in b.column("ids").to_pylist()]
             yield b.append_column("decoded", pa.array(texts, pa.string()))
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
-    return encoded.mapInArrow(run, f"{fields}, decoded string")
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def round_trip(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
