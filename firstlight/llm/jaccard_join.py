@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from firstlight.llm.bloom import bloom
 from firstlight.llm.components import components
 from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
 from firstlight.llm.tables import stored
@@ -165,12 +166,34 @@ def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, count
 def _rows(found: DataFrame) -> DataFrame:
     """Index rows ``token, at, n, class, m, met`` of shingles held by at least two classes.
 
-    ``met`` is how many such shingles the set has before ``at``; the others there are its own alone.
+    Most prefix shingles are held once; a filter of those met twice or more
+    drops them before any row is made, and an exact test follows. ``met`` is
+    how many shared shingles the set has before ``at``; the others there are
+    its own alone.
     """
-    rows = found.select("class", "n", "m", F.posexplode("prefix").alias("at", "token"))
+    keys = found.select(F.col("prefix").alias("keys"))
+    n_keys = keys.agg(F.sum(F.size("keys"))).first()[0] or 0
+    sent = found.sparkSession.sparkContext.broadcast(bloom(keys, n_keys, least=2))
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("prefix")
+            tokens = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(lists.offsets.to_numpy())
+            keep = np.flatnonzero(sent.value.contains(tokens))
+            row = np.repeat(np.arange(b.num_rows), sizes)[keep]
+            at = keep - (np.cumsum(sizes) - sizes)[row]
+            of = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[keep]), pa.array(at.astype(np.int32)), b.column("n").take(of), b.column("class").take(of), b.column("m").take(of)],
+                ["token", "at", "n", "class", "m"],
+            )
+
+    rows = found.select("n", "class", "m", "prefix").mapInArrow(run, "token long, at int, n long, class long, m int")
+    rows = stored(rows.dropDuplicates(["token", "class"]), "jaccard-rows")
     shared = rows.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("token")
     met = F.row_number().over(Window.partitionBy("class").orderBy("at")) - 1
-    return rows.join(shared, "token").distinct().withColumn("met", met)
+    return rows.join(shared, "token").withColumn("met", met)
 
 
 def _fits(x: str, y: str, threshold: int):
@@ -192,26 +215,37 @@ def _pairs(joined: DataFrame, threshold: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``class, tokens``: the sets of the wanted documents, one row per class."""
-    ids = wanted.select(F.col("doc_id").alias("member"), "class")
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("member"))).select("class", "text")
+    """``class, tokens``: the sets of the wanted documents, one row per class.
+
+    A filter of the wanted classes keeps most other documents' sets from being
+    shuffled; the join is exact.
+    """
+    n_keys = wanted.count()
+    sent = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.array("class").alias("keys")), n_keys))
 
     def run(batches):
         for batch in batches:
             for b in chunks(batch):
                 sets = shingle_sets(b, width)
-                own = _signed(set_hashes(sets)) == b.column("class").to_numpy()
-                keep = np.flatnonzero(own)
+                own = _signed(set_hashes(sets))
+                keep = np.flatnonzero(sent.value.contains(own) & np.array([len(s) > 0 for s in sets], dtype=bool))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("class").take(pa.array(keep)), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["class", "tokens"]
+                    [b.column("doc_id").take(pa.array(keep)), pa.array(own[keep]), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
+                    ["doc_id", "class", "tokens"],
                 )
 
-    return rows.mapInArrow(run, "class long, tokens binary").dropDuplicates(["class"])
+    made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, class long, tokens binary")
+    ids = wanted.select(F.col("doc_id").alias("member"), F.col("class").alias("of"))
+    kept = made.join(ids, (F.col("class") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("member")), "left_semi")
+    return kept.select("class", "tokens").dropDuplicates(["class"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs whose sets link."""
+def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
+    """The pairs whose sets link; only sets of classes in a pair are made and moved."""
+    pairs = stored(pairs, "jaccard-pairs")
+    met = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
+    wanted = found.join(met, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    sets = stored(_sets(docs, stored(wanted, "jaccard-wanted"), width), "jaccard-sets")
 
     def run(batches):
         for b in batches:
@@ -240,13 +274,9 @@ def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOS
     found = stored(classes(docs, width, threshold, keys, counts), "jaccard-classes")
     full = found.filter("n > 0")
     rows = stored(_rows(full), "jaccard-rows")
-    holders = rows.groupBy("class").agg(F.count("*").alias("k"))
-    wanted = full.join(holders.select("class"), "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets = stored(_sets(docs, wanted, width), "jaccard-sets")
-
     first = rows.groupBy("token").agg(F.min(F.struct("at", "class", "n", "m", "met")).alias("f")).select("token", "f.*")
     star = rows.alias("x").join(first.alias("y"), F.col("x.token") == F.col("y.token")).filter("x.class <> y.class")
-    links = stored(_verified(_pairs(star, threshold), sets, threshold), "jaccard-star")
+    links = stored(_verified(_pairs(star, threshold), docs, full, width, threshold), "jaccard-star")
     labels = stored(components(links), "jaccard-labels")
 
     labelled = rows.join(labels, rows["class"] == labels["node"], "left").select(rows["*"], F.coalesce("root", "class").alias("root"))
@@ -258,7 +288,7 @@ def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOS
         (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root"))
         & _fits("x", "y", threshold),
     )
-    more = _verified(_pairs(crossing, threshold), sets, threshold)
+    more = _verified(_pairs(crossing, threshold), docs, full, width, threshold)
     labels = stored(components(links.union(more)), "jaccard-components")
 
     member = full.select("doc_id", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
@@ -268,3 +298,10 @@ def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOS
     linked = member.join(least, "root").join(sizes, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size")
     alone = found.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
     return linked.union(alone)
+
+
+def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of their group, with all their columns."""
+    found = groups(docs, width, threshold)
+    stays = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay_id")).distinct(), "jaccard-kept")
+    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")), "left_semi")
