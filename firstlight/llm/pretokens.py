@@ -10,12 +10,13 @@ Equal pre-tokens of one chunk are found by a 64-bit hash of their code points.
 from __future__ import annotations
 
 import json
+import os
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 
-from firstlight.llm.ragged import CHUNK_BYTES, mix
+from firstlight.llm.ragged import mix
 
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = 0, 1, 2, 3, 9
 CODE_POINTS = 0x110000
@@ -88,7 +89,7 @@ class Splitter:
         ends = np.append(starts[1:], len(points))
         if len(self._power) <= len(points):
             base = 0x9E3779B97F4A7C15
-            self._power = np.ones((2, max(len(points) + 1, CHUNK_BYTES)), dtype=np.uint64)
+            self._power = np.ones((2, max(len(points) + 1, 1 << 20)), dtype=np.uint64)
             for row, x in enumerate((base, pow(base, -1, 1 << 64))):
                 self._power[row, 1:] = x
                 self._power[row] = np.multiply.accumulate(self._power[row])
@@ -104,6 +105,8 @@ class Splitter:
 @lru_cache(maxsize=2)
 def load(path: str):
     """The library's tokenizer of a file and its splitter; once per process."""
+    # Spark runs one task per core already.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)

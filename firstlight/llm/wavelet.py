@@ -16,6 +16,7 @@ import json
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ from firstlight.session import scratch_dir
 
 MAGIC = b"WVMATRX1"
 BLOCK_BITS = 1 << 18
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
+CHUNK_BYTES = 1 << 20
 MEMO_ENTRIES = 1 << 18
 NO_ID = np.iinfo(np.int64).min
 END_ID = 0
@@ -171,7 +173,7 @@ class Encoder:
 
     def _clear(self) -> None:
         self.memo: dict[str, int] = {}
-        self.ids = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -184,8 +186,10 @@ class Encoder:
         if new:
             found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
-            self.ids = np.concatenate([self.ids, np.concatenate([np.array(x, dtype=np.int64) for x in found])])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found])])
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            added = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
+            self.ids = np.concatenate([self.ids, added])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         entry = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))[codes]
         # A special string is one more token behind the part before it.
         begin, size = self.starts[entry], self.starts[entry + 1] - self.starts[entry]
@@ -223,7 +227,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, file_tokens: int = F
             return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
-            for b in chunks(batch):
+            for b in chunks(batch, limit=CHUNK_BYTES):
                 ids, n = encoder([t or "" for t in b.column("text").to_pylist()])
                 ids = np.insert(ids, np.cumsum(n), END_ID)
                 held.append(ids.astype(np.uint32))
