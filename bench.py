@@ -21,7 +21,10 @@ from firstlight.plans import catalog  # noqa: E402
 from firstlight.session import build_session  # noqa: E402
 
 # These write files and run streams on every call.
-ONCE = {"first_per_day_stream", "dau_total_stream", "raw_landing_daily", "routed_topics"}
+ONCE = {
+    "first_per_day_stream", "dau_total_stream", "raw_landing_daily", "routed_topics", "compacted_day", "store_day_total",
+    "kpi_totals_first_seen",
+}
 
 
 def seconds(spark, query, sf_dir: str) -> float:

@@ -15,7 +15,7 @@ from firstlight.plans.dashboard import realtime_hour, realtime_total
 from firstlight.session import build_session
 from firstlight.sources.logs import read_file_log_stream, read_kafka_log_stream
 from firstlight.sources.store import StorePaths, read_days
-from firstlight.streaming.first_seen import read_first_seen, update_first_seen
+from firstlight.streaming.first_seen import has_first_seen, read_first_seen, update_first_seen
 from firstlight.streaming.pipeline import start_pipeline, start_state_pipeline
 from firstlight.streaming.sinks import land_raw_stream, quarantine_stream, route_stream_to_files, route_stream_to_kafka
 from firstlight.streaming.upsert import compact
@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
         source.add_argument("--kafka", help="bootstrap servers")
         p.add_argument("--topic", default="app_log")
         p.add_argument("--group")
+        p.add_argument("--partitions", type=int, help="number of the topic's partitions; those not in the ledger start at their beginning")
         p.add_argument("--max-per-trigger", type=int)
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--trigger", default="5 seconds", help="interval, or 'drain' to stop at the end of input")
@@ -50,7 +51,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "pipeline":
             p.add_argument("--keep", choices=["earliest", "arrival"], default="earliest")
         else:
-            p.add_argument("--delay", default="2 days")
+            p.add_argument("--expire", default="24 hours")
     for name in ("compact", "first-seen", "realtime-total", "realtime-hour"):
         p = jobs.add_parser(name)
         p.add_argument("--root", required=True)
@@ -66,7 +67,7 @@ def _logs(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         offsets["group"] = a.group
     if getattr(a, "root", None):
         # A new checkpoint starts where the ledger ends; an existing one ignores it.
-        offsets["offsets"] = resolve_start(read_ledger(spark, StorePaths(a.root)), a.topic)
+        offsets["offsets"] = resolve_start(read_ledger(spark, StorePaths(a.root)), a.topic, range(a.partitions) if a.partitions else None)
     return read_kafka_log_stream(spark, a.kafka, a.topic, **offsets)
 
 
@@ -86,7 +87,7 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> str | None:
     elif a.job == "pipeline":
         start_pipeline(_logs(spark, a), a.root, a.checkpoint, a.keep, a.tz, a.minute, trigger).awaitTermination()
     elif a.job == "state-pipeline":
-        query = start_state_pipeline(_logs(spark, a), a.root, a.checkpoint, a.delay, a.tz, a.minute, trigger)
+        query = start_state_pipeline(_logs(spark, a), a.root, a.checkpoint, a.expire, a.tz, a.minute, trigger)
         query.awaitTermination()
     else:
         return _report(spark, StorePaths(a.root), a.job, a.date)
@@ -101,7 +102,9 @@ def _report(spark: SparkSession, store: StorePaths, job: str, date: str) -> str
         update_first_seen(spark, store, date)
         return None
     if job == "realtime-total":
-        body = realtime_total(read_days(spark, store, [date]), date, read_first_seen(spark, store))
+        # Without the day's first-seen partition new devices are counted from the whole store.
+        built = has_first_seen(spark, store, date)
+        body = realtime_total(read_days(spark, store, [date] if built else None), date, read_first_seen(spark, store) if built else None)
     else:
         yesterday = spark.range(1).select(previous_day(date)).first()[0]
         body = realtime_hour(read_days(spark, store, [yesterday, date]), date)

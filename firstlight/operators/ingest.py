@@ -87,27 +87,24 @@ def route_logs(
     return probed.select("value", topic.alias("topic"))
 
 
+def _one_line(value: str) -> Column:
+    """A body on one line; a line break in JSON is white space between its parts."""
+    return F.regexp_replace(F.col(value), r"[\r\n]+", " ").alias("value")
+
+
 def write_routed(routed: DataFrame, path: str) -> None:
-    """Append the routed bodies to one text folder per topic.
+    """Append the routed bodies to one text folder per topic, straight from the tasks that read them.
 
-    The rebalance hint lets AQE split a topic that holds most of the rows and
-    join small pieces, so neither one task nor a swarm of files results.
+    There are two topics, so a task writes two files at most.
     """
-    (
-        routed.filter(F.col("topic").isNotNull())
-        .hint("rebalance", "topic")
-        .write.mode("append")
-        .partitionBy("topic")
-        .text(path)
-    )
+    known = routed.filter(F.col("topic").isNotNull()).select(_one_line("value"), "topic")
+    known.write.mode("append").partitionBy("topic").text(path)
 
 
 def land_raw(logs: DataFrame, path: str, ingest_date: str = "ingest_date", value: str = "value") -> None:
-    """Append every body, text only, to one folder per ingest date."""
-    (
-        logs.select(value, ingest_date)
-        .hint("rebalance", ingest_date)
-        .write.mode("append")
-        .partitionBy(ingest_date)
-        .text(path)
-    )
+    """Append every body to one text folder per ingest date, straight from the tasks that read them.
+
+    Logs arrive day by day, so a task has a day or two; lay out a backfill of
+    mixed days by day before.
+    """
+    logs.select(_one_line(value), ingest_date).write.mode("append").partitionBy(ingest_date).text(path)

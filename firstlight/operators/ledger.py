@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,10 +35,10 @@ def next_offsets(ledger: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def resolve_start(ledger: DataFrame, topic: str) -> str:
+def resolve_start(ledger: DataFrame, topic: str, partitions: Iterable[int] | None = None) -> str:
     """The ``startingOffsets`` option: the ledger's next offsets, else latest.
 
     Collects one row per partition of the topic, never more.
     """
     rows = next_offsets(ledger, topic).collect()
-    return starting_offsets(topic, {r["partition"]: r["offset"] for r in rows})
+    return starting_offsets(topic, {r["partition"]: r["offset"] for r in rows}, partitions)

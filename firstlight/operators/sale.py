@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firstlight.functions.labels import REGION_SPLITS, age_band, gender_name
+from firstlight.functions.labels import DEFAULT_SALE_DATE, REGION_SPLITS, age_band, gender_name
 from firstlight.functions.predicates import bin_values
 from firstlight.functions.text import match_text
 from firstlight.operators.metrics import with_pct
@@ -26,6 +26,19 @@ def build_sale_detail(detail: DataFrame, users: DataFrame, skus: DataFrame) -> D
     return joined.withColumns(as_text).select(*SALE_DETAIL_COLUMNS)
 
 
+def matching_lines(detail: DataFrame, users: DataFrame, skus: DataFrame, keyword: str = "", level: int | None = None) -> DataFrame:
+    """Order lines that a search finds, before any attribute is joined on.
+
+    Only what the filters need is read: the SKUs that match the keyword and
+    the users of the level, each as a semi join.
+    """
+    if keyword:
+        detail = detail.join(skus.filter(match_text(F.col("sku_name"), keyword)).select("sku_id"), "sku_id", "left_semi")
+    if level is not None:
+        detail = detail.join(users.filter(F.col("user_level") == level).select("user_id"), "user_id", "left_semi")
+    return detail
+
+
 def write_sale_detail(df: DataFrame, path: str) -> None:
     """Day-partitioned table, so that a search reads one day."""
     df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
@@ -46,8 +59,9 @@ def sale_filter(date: str | None, keyword: str = "", level: int | None = None) -
 
 
 def sale_detail_search(
-    sales: DataFrame, date: str | None, keyword: str = "", level: int | None = None
+    sales: DataFrame, date: str | None = DEFAULT_SALE_DATE, keyword: str = "", level: int | None = None
 ) -> DataFrame:
+    """Rows of a search; without a date that of the dashboard is taken, ``None`` means all days."""
     return sales.filter(sale_filter(date, keyword, level))
 
 
@@ -120,11 +134,12 @@ def region_sales(
     """
     per_region = sum_by_dimension(sales, "user_id", "value", users, "region_id")
     named = per_region.join(regions.select("region_id", "name"), "region_id")
-    value = F.col("value") / F.lit(unit)
+    value = F.col("value").cast("double") / F.lit(unit)
     return named.select("name", value.alias("value"), bin_values(value, splits).alias("bin"))
 
 
 def category_sales(sales: DataFrame, skus: DataFrame) -> DataFrame:
     """``name, num``: sales by category.  ``sales``: sku_id, num; ``skus``: sku_id, category."""
     per_category = sum_by_dimension(sales, "sku_id", "num", skus, "category")
-    return per_category.select(F.col("category").alias("name"), "num")
+    # Summed exactly, cut to whole units once.
+    return per_category.select(F.col("category").alias("name"), F.round("num").cast("long").alias("num"))

@@ -15,10 +15,11 @@ from firstlight.operators.search import search, search_after
 from firstlight.plans import dashboard, tables
 from firstlight.session import scratch_dir
 from firstlight.sources.logs import read_file_log_stream
-from firstlight.sources.store import StorePaths, get_by_id, read_days
-from firstlight.streaming.pipeline import start_pipeline
+from firstlight.sources.store import StorePaths, get_by_id, read_day, read_days
+from firstlight.streaming.first_seen import read_first_seen, rebuild_first_seen
+from firstlight.streaming.pipeline import process_batch, start_pipeline
 from firstlight.streaming.state import first_per_day_stream
-from firstlight.streaming.upsert import current
+from firstlight.streaming.upsert import compact, current
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,16 +196,70 @@ def first_per_day_stream_query(spark, d):
     return _with_area(current(read_days(spark, StorePaths(root))), spark, d)
 
 
+LAST_DAY = "(SELECT strftime(max(ts), '%Y-%m-%d') FROM events)"
+
+
+def _store(spark, d) -> tuple[StorePaths, str]:
+    """A store filled by two batches, launch logs and all other logs, and its last day."""
+    store, routed = StorePaths(scratch_dir(spark, "store")), ingest.route_logs(_raw(spark, d))
+    whole = lambda topic: routed.filter(F.col("topic") == topic).select(
+        "value", "topic", F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset")
+    )
+    for i, topic in enumerate((ingest.START_TOPIC, ingest.EVENT_TOPIC)):
+        process_batch(whole(topic), i, store)
+    return store, tables.events(spark, d).select(F.max("ts").cast("date").cast("string")).first()[0]
+
+
+@query("compacted_day", f"SELECT * FROM ({FIRSTS}) WHERE dt = {LAST_DAY}")
+def compacted_day(spark, d):
+    """One day of the store after its two batches were folded."""
+    store, day = _store(spark, d)
+    compact(spark, store, day)
+    return _with_area(current(read_day(spark, store, day)), spark, d)
+
+
+@query("store_day_total", f"WITH {LAUNCHES} SELECT dt, count(DISTINCT mid) AS n FROM l WHERE dt = {LAST_DAY} GROUP BY dt")
+def store_day_total(spark, d):
+    """One day's devices; only that day's folder is listed."""
+    store, day = _store(spark, d)
+    return metrics.dau_total(read_day(spark, store, day), day)
+
+
+@query(
+    "kpi_totals_first_seen",
+    f"""
+    WITH {LAUNCHES}, first_seen AS (SELECT mid, min(dt) AS dt FROM l GROUP BY mid)
+    SELECT 'dau' AS id, '新增日活' AS name, count(DISTINCT mid) AS value FROM l WHERE dt = {LAST_DAY}
+    UNION ALL
+    SELECT 'new_mid', '新增设备', count(*) FROM first_seen WHERE dt = {LAST_DAY}
+    """,
+)
+def kpi_totals_first_seen(spark, d):
+    """The day's two figures from its folder and the first-seen table."""
+    store, day = _store(spark, d)
+    rebuild_first_seen(spark, store)
+    return metrics.kpi_totals(read_day(spark, store, day), day, read_first_seen(spark, store))
+
+
 @query("dau_total_stream", f"WITH {LAUNCHES} SELECT dt, count(DISTINCT mid) AS n FROM l GROUP BY dt")
 def dau_total_stream(spark, d):
-    """The low-latency form: first arrivals from streaming state, appended to a table."""
-    out, checkpoint = scratch_dir(spark, "arrivals"), scratch_dir(spark, "checkpoint")
-    source = spark.readStream.schema(tables.events(spark, d).schema).parquet(f"{d}/events*.parquet")
+    """The low-latency form: first arrivals from streaming state, one file per trigger, latest days first."""
+    landing, out, checkpoint = (scratch_dir(spark, n) for n in ("landing", "arrivals", "checkpoint"))
+    events = tables.events(spark, d)
+    middle = events.select(F.to_date(F.min("ts") + (F.max("ts") - F.min("ts")) / 2)).first()[0]
+    late = F.coalesce(F.to_date("ts") > F.lit(middle), F.lit(False))
+    for part in (late, ~late):
+        events.filter(part).write.mode("append").parquet(landing)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
     records = ingest.with_dt_hr(tables.logs(source)).withColumns(
         {"ar": F.lit(None).cast("string"), "mi": F.lit("00")}
     )
     arrivals = first_per_day_stream(records.select(*FIRST_COLUMNS))
-    writer = arrivals.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    writer = arrivals.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).groupBy("dt").agg(F.count("*").alias("n"))
 
@@ -459,8 +514,9 @@ def sale_detail_page(spark, d):
 )
 def sale_detail_keyword(spark, d):
     """First page of 50 over all days: any keyword token in the SKU name, one user level."""
-    found = sale.sale_detail_search(_sales(spark, d), None, "Red ring", level=3)
-    return sale.sale_detail_page(found, page=1, size=50)
+    users, skus = tables.users(spark, d), tables.skus(spark, d)
+    lines = sale.matching_lines(tables.order_detail(spark, d), users, skus, "Red ring", level=3)
+    return sale.sale_detail_page(sale.build_sale_detail(lines, users, skus), page=1, size=50)
 
 
 @query(
@@ -468,7 +524,9 @@ def sale_detail_keyword(spark, d):
     f"WITH {SALES} SELECT count(*) AS total FROM s WHERE list_has_any(string_split(sku_name, ' '), ['red', 'ring'])",
 )
 def sale_detail_total(spark, d):
-    return sale.sale_detail_total(sale.sale_detail_search(_sales(spark, d), None, "Red ring"))
+    """Counted on the order lines alone; no user is joined."""
+    lines = sale.matching_lines(tables.order_detail(spark, d), tables.users(spark, d), tables.skus(spark, d), "Red ring")
+    return sale.sale_detail_total(lines)
 
 
 def _user_groups(spark, d):
@@ -530,7 +588,7 @@ def region_sales(spark, d):
 )
 def category_sales(spark, d):
     lines = tables.table(spark, d, "lineitem")
-    sales = lines.select(F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("long").alias("num"))
+    sales = lines.select(F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("decimal(18,4)").alias("num"))
     return sale.category_sales(sales, tables.skus(spark, d))
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firstlight.functions.labels import PAGE_SIZES
 from firstlight.operators.metrics import hourly_compare, kpi_totals
 from firstlight.operators.sale import age_facet, gender_facet, sale_detail_page, user_groups
 
@@ -42,8 +41,6 @@ def sale_detail_response(found: DataFrame, draw: int, page: int, size: int) -> D
 
     ``stat`` holds the age shares, then the gender shares.
     """
-    if size > max(PAGE_SIZES):
-        raise ValueError(f"size is at most {max(PAGE_SIZES)}")
     groups = user_groups(found)
     rows = sale_detail_page(found, page, size)
     null = F.lit(None)

@@ -45,7 +45,9 @@ def with_area(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Add ``ar``, the nation of the user.  Used after deduplication, on one row per device and day."""
     users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("ar"))
-    return df.join(users, "user_id", "left").join(nations, "c_nationkey", "left").drop("c_nationkey", "user_id")
+    # The small tables meet first, so the large one is joined once.
+    named = users.join(nations, "c_nationkey", "left").select("user_id", "ar")
+    return df.join(named, "user_id", "left").drop("user_id")
 
 
 def raw_logs(ev: DataFrame, body: Column | None = None) -> DataFrame:
@@ -120,7 +122,7 @@ def units_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"))
-        .agg(F.sum(F.col("l_quantity").cast("long")).alias("units"), F.count("*").alias("n"))
+        .agg(F.sum(F.col("l_quantity").cast("decimal(18,4)")).alias("units"), F.count("*").alias("n"))
     )
 
 

@@ -8,39 +8,44 @@ has to be on the session's class path (``spark.jars.packages``).
 from __future__ import annotations
 
 import json
-from typing import Mapping
+from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstlight.schemas import RAW_LOG
 
-DEFAULT_GROUP = "daily-active"
+# What Spark's Kafka source calls the first offset there is.
+EARLIEST = -2
 
 
-def starting_offsets(topic: str, offsets: Mapping[int, int] | None) -> str:
+def starting_offsets(topic: str, offsets: Mapping[int, int] | None, partitions: Iterable[int] | None = None) -> str:
     """Start position: the given next offset of each partition, else latest.
 
-    Only the first run of a query looks at it; later runs resume from their
-    checkpoint.
+    The source wants every partition of the topic named. ``partitions`` lists
+    them; those without an offset, new ones for instance, are read from their
+    beginning. Only the first run of a query looks at this; later runs resume
+    from their checkpoint.
     """
     if not offsets:
         return "latest"
-    return json.dumps({topic: {str(p): int(o) for p, o in sorted(offsets.items())}})
+    known = {p: EARLIEST for p in partitions or ()} | {p: int(o) for p, o in offsets.items()}
+    return json.dumps({topic: {str(p): o for p, o in sorted(known.items())}})
 
 
 def kafka_source_options(
     servers: str,
     topic: str,
-    group: str | None = DEFAULT_GROUP,
+    group: str | None = None,
     offsets: Mapping[int, int] | str | None = None,
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source, a new dictionary on every call.
 
-    Spark tracks offsets in the checkpoint and never commits to the group;
-    the group id only names the consumers.  ``min_partitions`` splits large
+    Spark tracks offsets in the checkpoint and never commits to the group, and
+    by default gives every query a group of its own; two queries that share a
+    named group may each read a part.  ``min_partitions`` splits large
     topic partitions over more tasks.  ``offsets`` may be a ready
     ``startingOffsets`` text.
     """

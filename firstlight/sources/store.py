@@ -47,9 +47,6 @@ class StorePaths:
     def first_seen(self) -> str:
         return self._sub("first_seen")
 
-    @property
-    def compacting(self) -> str:
-        return self._sub("compacting")
 
 
 # A partition without rows: with it a read of days that have no folder yet

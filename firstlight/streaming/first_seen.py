@@ -11,13 +11,25 @@ from pyspark.sql import functions as F
 
 from firstlight.operators.dedup import new_to_day
 from firstlight.schemas import FIRST_SEEN
-from firstlight.sources.store import StorePaths, read_day, read_or_empty
+from firstlight.sources.store import StorePaths, read_day, read_days, read_or_empty
 
 
 def read_first_seen(spark: SparkSession, store: StorePaths) -> DataFrame:
     return read_or_empty(spark, FIRST_SEEN, store.first_seen)
 
 
+def has_first_seen(spark: SparkSession, store: StorePaths, day: str) -> bool:
+    """Whether the day's partition was built; one without rows counts."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store.first_seen}/dt={day}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def rebuild_first_seen(spark: SparkSession, store: StorePaths) -> None:
+    """Write all days' partitions from the store in one pass; late records are in their place then."""
+    first = read_days(spark, store).groupBy("mid").agg(F.min("dt").alias("dt"))
+    first.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dt").parquet(store.first_seen)
+
+
 def update_first_seen(spark: SparkSession, store: StorePaths, day: str) -> None:
     """(Re)build one day's partition from the store and the days before.
 

@@ -10,23 +10,21 @@ from __future__ import annotations
 from typing import Any, Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from firstlight.functions.clock import with_dt_hr
 from firstlight.operators.ingest import parse_logs, quarantine, to_dau_info, usable
 from firstlight.operators.ledger import offset_ledger
-from firstlight.sources.store import StorePaths
+from firstlight.sources.store import StorePaths, read_days
 from firstlight.streaming.state import earliest_updates
-from firstlight.streaming.upsert import batch_base, batch_metrics, upsert_by_key, write_versions
+from firstlight.streaming.upsert import batch_base, batch_metrics, compact, upsert_by_key, write_versions
 
 Metrics = Callable[[dict[str, Any]], None]
 
-# A batch normally touches one or two days.  Up to this many are listed by
-# name; beyond it (a replay of years, or wild clocks) the batch is compared
-# with the whole store, with the same result.
-MAX_LISTED_DAYS = 400
+# Batches after which the pipeline folds the days that it wrote since.
+FOLD_EVERY = 50
 
 
 def process_batch(
@@ -43,34 +41,38 @@ def process_batch(
     # Read up to four times below; kept without the bodies of usable rows.
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        summary = (
-            parsed.groupBy("dt")
-            .agg(
-                F.count("*").alias("logs"),
-                F.count("reason").alias("rejected"),
-                F.count("offset").alias("offsets"),
-            )
-            .limit(MAX_LISTED_DAYS + 1)
-            .collect()
-        )
-        known = len(summary) <= MAX_LISTED_DAYS
-        days = [r["dt"] for r in summary if r["logs"] > r["rejected"]] if known else None
-        if not known or any(r["rejected"] for r in summary):
+        counts = parsed.agg(
+            F.count("*").alias("logs"), F.count("reason").alias("rejected"), F.count("offset").alias("offsets")
+        ).first()
+        if counts["rejected"]:
             rejected = quarantine(parsed).write.mode("overwrite")
             rejected.parquet(f"{store.quarantine}/batch_id={batch_id}")
-        if days is None or days:
-            upsert_by_key(to_dau_info(usable(parsed), tz, minute), batch_id, store, keep, days)
-        if not known or any(r["offsets"] for r in summary):
+        if counts["logs"] > counts["rejected"]:
+            upsert_by_key(to_dau_info(usable(parsed), tz, minute), batch_id, store, keep)
+        if counts["offsets"]:
             ledger = offset_ledger(parsed, batch_id).drop("batch_id").coalesce(1)
             ledger.write.mode("overwrite").parquet(f"{store.ledger}/batch_id={batch_id}")
         if on_metrics:
-            own = batch_metrics(batch.sparkSession, store, batch_id, days)
-            written = own.agg(F.coalesce(F.sum("written"), F.lit(0)).alias("n")).first()["n"]
-            on_metrics({"batch_id": batch_id, "days": days, "written": written})
+            own = batch_metrics(batch.sparkSession, store, batch_id)
+            totals = own.agg(F.coalesce(F.sum("written"), F.lit(0)).alias("n"), F.count("*").alias("days")).first()
+            on_metrics({"batch_id": batch_id, "days": totals["days"], "written": totals["n"]})
     finally:
         parsed.unpersist()
 
 
+def fold_recent(spark: SparkSession, store: StorePaths, batch_id: int, every: int) -> None:
+    """After each ``every``-th batch, fold the days that the last ``every`` batches wrote.
+
+    Earlier batches are committed by then. A retry of the current batch writes
+    its own partitions again, with the same rows, so the fold may hold them.
+    """
+    if (batch_id + 1) % every:
+        return
+    recent = read_days(spark, store).filter(F.col("batch_id") > batch_id - every)
+    for (day,) in recent.select("dt").distinct().toLocalIterator():
+        compact(spark, store, day, below=batch_id)
+
+
 def start_pipeline(
     logs: DataFrame,
     root: str,
@@ -80,9 +82,13 @@ def start_pipeline(
     minute: str = "zero",
     trigger: str | None = "5 seconds",
     on_metrics: Metrics | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Start the pipeline.  ``trigger=None`` drains what is there and stops.
 
+    After every ``fold_every`` batches the days written since the last fold
+    are compacted, so an open day's folders stay few.
+
     The caller awaits the query: ``start_pipeline(...).awaitTermination()``.
     """
     store = StorePaths(root)
@@ -90,6 +96,7 @@ def start_pipeline(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, base + batch_id, store, keep, tz, minute, on_metrics)
+        fold_recent(batch.sparkSession, store, base + batch_id, fold_every)
 
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     writer = logs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -100,29 +107,27 @@ def start_state_pipeline(
     logs: DataFrame,
     root: str,
     checkpoint: str,
-    delay: str = "2 days",
+    expire: str = "24 hours",
     tz: str = "UTC",
     minute: str = "zero",
     trigger: str | None = "5 seconds",
-    files_per_day: int = 8,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    """As :func:`start_pipeline` with ``keep="earliest"``, with the day's keys in streaming state.
+    """As :func:`start_pipeline` with ``keep="earliest"``, with the keys in streaming state.
 
     A batch costs what its own rows cost, however many devices the day already
-    has: the choice for short triggers.  Launches of days more than ``delay``
-    behind the newest are not seen by the state; the query progress counts
-    them (``numRowsDroppedByWatermark``), and running :func:`process_batch`
-    over the landed logs of such a day adds them.  Unusable logs are skipped
-    here; a second query over the same source quarantines them.
-    ``files_per_day`` tasks write each day of a batch.
+    has: the choice for short triggers.  State lives ``expire`` long by
+    arrival; no launch is dropped, however late it comes.  Unusable logs are
+    skipped here; a second query over the same source quarantines them.
     """
     store = StorePaths(root)
     base = batch_base(logs.sparkSession, store, checkpoint)
     records = to_dau_info(usable(parse_logs(logs.select("value"))), tz, minute)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_versions(batch, store.dau, base + batch_id, files_per_day)
+        write_versions(batch, store.dau, base + batch_id, spread=True)
+        fold_recent(batch.sparkSession, store, base + batch_id, fold_every)
 
     timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
-    writer = earliest_updates(records, delay).writeStream.outputMode("update").foreachBatch(run)
+    writer = earliest_updates(records, expire).writeStream.outputMode("update").foreachBatch(run)
     return writer.option("checkpointLocation", checkpoint).trigger(**timing).start()

@@ -2,93 +2,56 @@
 
 The store-backed upsert compares every batch with the day's stored keys; these
 forms keep the keys in the state store instead, so a batch costs what its own
-rows cost.  In exchange they forget a day after a while:
-
-* ``first_per_day_stream(ttl="event")``: when the watermark passes; later rows
-  of that day are dropped and counted in the query progress.
-* ``first_per_day_stream(ttl="processing")``: each key a fixed time after its
-  first arrival, whatever its event time; nothing is dropped, a forgotten
-  device counts as new again.  Such a query runs empty batches for its clock,
-  so an ``availableNow`` trigger never ends it; and its workers import this
-  package, so ship it with ``--py-files``.
-* ``earliest_updates``: as ``event``, but re-emits a device when an earlier
-  launch arrives late.
+rows cost. State is grouped by the time of arrival: a row belongs to the
+window of ``expire`` in which it came, whatever its event day. Arrival time
+only moves forward, so no row is ever late, a wild device clock moves nothing,
+and the whole set of a window is dropped at once when the window is over. A
+device that comes again in a later window is emitted again; readers settle the
+versions (:func:`firstlight.streaming.upsert.current`).
+
+Each batch is reduced per device before it is shuffled.
+
+``first_per_day_stream`` emits a device once per window and day, with the
+earliest launch of the batch it first came in; ``earliest_updates`` also emits
+it again when an earlier launch arrives. Both have output mode ``update``.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-from typing import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from firstlight.operators.dedup import LAUNCH_ORDER
-from firstlight.schemas import DAU_COLUMNS, DAU_INFO
-
-
-def _with_day(records: DataFrame, delay: str) -> DataFrame:
-    return records.withColumn("day_ts", F.to_date("dt").cast("timestamp")).withWatermark("day_ts", delay)
-
-
-class _FirstArrival(StatefulProcessor):
-    """Emits a key's first row and remembers the key for ``ttl_ms``."""
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("seen", T.BooleanType())])
-        self.seen = handle.getValueState("seen", schema, ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.seen.exists()
-        best = None
-        for pdf in rows:
-            if known:
-                continue
-            # One row per chunk: a key's rows are never gathered.
-            least = pdf.sort_values(list(LAUNCH_ORDER), na_position="first", kind="stable").head(1)
-            both = least if best is None else pd.concat([best, least])
-            best = both.sort_values(list(LAUNCH_ORDER), na_position="first", kind="stable").head(1)
-        if best is not None:
-            self.seen.update((True,))
-            yield best[DAU_COLUMNS]
-
-    def close(self) -> None:
-        pass
-
-
-def first_per_day_stream(
-    records: DataFrame, ttl: str = "event", delay: str = "1 day", expire: timedelta = timedelta(hours=24)
-) -> DataFrame:
-    """First arrivals per ``(dt, mid)`` of a stream of activity records."""
-    if ttl == "event":
-        # The watermark column is among the keys: only then is state dropped.
-        return _with_day(records, delay).dropDuplicates(["day_ts", "mid"]).drop("day_ts")
-    if ttl == "processing":
-        return records.groupBy("dt", "mid").transformWithStateInPandas(
-            statefulProcessor=_FirstArrival(int(expire.total_seconds() * 1000)),
-            outputStructType=DAU_INFO,
-            outputMode="append",
-            timeMode="ProcessingTime",
-        )
-    raise ValueError("ttl is 'event' or 'processing'")
-
-
-def earliest_updates(records: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Records that are the earliest of their device and day so far (output mode ``update``).
-
-    ``seen_at`` is the batch's own time stamp; a group whose winner carries
-    the current one was created or improved by this batch, every other touched
-    group is left out.
+from firstlight.schemas import DAU_COLUMNS
+
+# Arrival stamps of a batch are equal; the watermark needs no room for late ones.
+_NO_DELAY = "0 seconds"
+
+
+def _by_arrival(records: DataFrame, expire: str, order: Column) -> DataFrame:
+    """``dt, mid, first_at, b``: per window and device its first arrival and its least launch by ``order``."""
+    payload = F.struct(*[c for c in DAU_COLUMNS if c not in ("dt", "mid")], "seen_at")
+    stamped = records.withColumn("seen_at", F.current_timestamp()).withWatermark("seen_at", _NO_DELAY)
+    return stamped.groupBy(F.window("seen_at", expire), "dt", "mid").agg(
+        F.min("seen_at").alias("first_at"), F.min_by(payload, order).alias("b")
+    )
+
+
+def _records(found: DataFrame) -> DataFrame:
+    return found.select(*[F.col(c) if c in ("dt", "mid") else F.col(f"b.{c}").alias(c) for c in DAU_COLUMNS])
+
+
+def first_per_day_stream(records: DataFrame, expire: str = "24 hours") -> DataFrame:
+    """First arrivals per ``(dt, mid)`` of a stream of activity records; the set lives ``expire`` long."""
+    found = _by_arrival(records, expire, F.struct("seen_at", *LAUNCH_ORDER))
+    return _records(found.filter(F.col("first_at") == F.current_timestamp()))
+
+
+def earliest_updates(records: DataFrame, expire: str = "24 hours") -> DataFrame:
+    """Records that are the earliest of their device and day so far in their window.
+
+    A group whose least launch carries the current batch's stamp was created
+    or improved by this batch; every other touched group is left out.
     """
-    order = F.struct(*LAUNCH_ORDER, "seen_at")
-    payload = F.struct(*[c for c in DAU_COLUMNS if c != "mid"], "seen_at")
-    stamped = _with_day(records, delay).withColumn("seen_at", F.current_timestamp())
-    best = stamped.groupBy("day_ts", "mid").agg(F.min_by(payload, order).alias("b"))
-    fresh = best.filter(F.col("b.seen_at") == F.current_timestamp())
-    return fresh.select(*[F.col("mid") if c == "mid" else F.col(f"b.{c}").alias(c) for c in DAU_COLUMNS])
+    found = _by_arrival(records, expire, F.struct(*LAUNCH_ORDER, "seen_at"))
+    return _records(found.filter(F.col("b.seen_at") == F.current_timestamp()))

@@ -8,18 +8,14 @@ batch ids, so a retry after any failure gives the same store.
 
 from __future__ import annotations
 
-import uuid
 from typing import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstlight.operators.dedup import LAUNCH_ORDER, earlier_than_seen, first_per_day, new_to_day
-from firstlight.schemas import DAU_STORE, RUNS
-from firstlight.sources.store import StorePaths, init_store, no_rows, read_days, read_or_empty
-
-COMPACTED = -1
+from firstlight.schemas import RUNS
+from firstlight.sources.store import StorePaths, init_store, read_day, read_days, read_or_empty
 
 
 def unseen(records: DataFrame, stored: DataFrame, keep: str) -> DataFrame:
@@ -36,20 +32,16 @@ def unseen(records: DataFrame, stored: DataFrame, keep: str) -> DataFrame:
     raise ValueError("keep is 'earliest' or 'arrival'")
 
 
-def write_versions(records: DataFrame, path: str, batch_id: int, files_per_day: int | None = None) -> None:
+def write_versions(records: DataFrame, path: str, batch_id: int, spread: bool = False) -> None:
     """Write one batch's versions, replacing what an earlier try of the batch wrote.
 
     The rebalance hint joins small files and lets AQE split a day that holds
-    most of the rows.  Stateful streams run without AQE; they name the number
-    of tasks, and files, a day is spread over.
+    most of the rows.  The output of a stateful stream is spread already, by
+    device over all its tasks, and is written from there (``spread``).
     """
     versions = records.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    if files_per_day is None:
-        spread = versions.hint("rebalance", "dt")
-    else:
-        spread = versions.repartition("dt", F.pmod(F.xxhash64("mid"), F.lit(files_per_day)))
     (
-        spread.write.mode("overwrite")
+        (versions if spread else versions.hint("rebalance", "dt")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "batch_id")
         .parquet(path)
@@ -69,6 +61,9 @@ def upsert_by_key(
     back.  The result is the same without it.
     """
     stored = read_days(records.sparkSession, store, days).filter(F.col("batch_id") < batch_id)
+    if days is None:
+        # The days are a small frame: Spark prunes the store's partitions by them at run time.
+        stored = stored.join(records.select("dt").distinct(), "dt", "left_semi")
     write_versions(unseen(records, stored, keep), store.dau, batch_id)
 
 
@@ -85,46 +80,34 @@ def current(stored: DataFrame) -> DataFrame:
     return first_per_day(stored, order=(*LAUNCH_ORDER, "batch_id")).drop("batch_id")
 
 
-def compact(spark: SparkSession, store: StorePaths, day: str) -> None:
-    """Fold the versions of a closed day into one partition.
+def compact(spark: SparkSession, store: StorePaths, day: str, below: int | None = None) -> None:
+    """Fold the versions of a day into one partition, while the day stays readable.
 
-    Run it between batches, on days whose batches are all committed.  The
-    folded rows are written aside first and then replace the day's folder.
-    Copies an interrupted run left aside are folded in again: their rows are
-    versions like any other, so the result is the same and nothing is lost.
+    The folded rows are written as one more partition, and only when that is
+    committed are the batch partitions it holds removed. In between, and after
+    a run that died there, the day has surplus versions, which readers settle
+    as always; the next run removes them. ``below`` folds only batches of
+    smaller numbers; the one that writes the store passes the number of its
+    next batch, others fold closed days.
     """
-    aside = f"{store.compacting}/dt={day}"
-    versions = read_days(spark, store, [day]).unionByName(_set_aside(spark, aside))
-    if versions.isEmpty():
+    versions = read_day(spark, store, day)
+    if below is not None:
+        versions = versions.filter(F.col("batch_id") < below)
+    held = [r[0] for r in versions.select("batch_id").distinct().collect()]  # folders of one day
+    if len(held) < 2:
         return
-    copy = f"{aside}/copy={uuid.uuid4().hex}"
-    rows = current(versions).withColumn("batch_id", F.lit(COMPACTED).cast("long"))
-    rows.hint("rebalance").write.mode("overwrite").parquet(copy)
-    _replace_day(spark.read.schema(DAU_STORE).parquet(copy), store, day)
-    _clear(spark, aside)
-
-
-def _set_aside(spark: SparkSession, aside: str) -> DataFrame:
-    try:
-        return spark.read.schema(DAU_STORE).option("recursiveFileLookup", "true").parquet(aside)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return no_rows(spark, DAU_STORE)
-
-
-def _clear(spark: SparkSession, aside: str) -> None:
-    no_rows(spark, DAU_STORE).coalesce(1).write.mode("overwrite").parquet(aside)
-
-
-def _replace_day(folded: DataFrame, store: StorePaths, day: str) -> None:
-    (
-        folded.drop("dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("batch_id")
-        .parquet(f"{store.dau}/dt={day}")
-    )
+    # Folded partitions count down from -1, so no fold replaces one that it reads.
+    number = min([0, *held]) - 1
+    rows = current(versions).withColumn("batch_id", F.lit(number).cast("long"))
+    write_versions(rows.drop("batch_id"), store.dau, number)
+    _remove(spark, [f"{store.dau}/dt={day}/batch_id={n}" for n in held])
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders whose rows are committed elsewhere."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def batch_base(spark: SparkSession, store: StorePaths, checkpoint: str) -> int:

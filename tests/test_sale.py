@@ -2,6 +2,7 @@ import json
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from firstlight.operators import sale
 from firstlight.plans import dashboard
@@ -90,8 +91,7 @@ def test_grid_response(sales):
     none = sale.sale_detail_search(sales, "1999-01-01")
     empty = json.loads(dashboard.sale_detail_response(none, 1, 1, 10).first()["body"])
     assert empty["data"]["total"] == 0 and empty["data"]["detail"] == []
-    with pytest.raises(ValueError):
-        dashboard.sale_detail_response(found, 1, 1, 1000)
+    assert len(json.loads(dashboard.sale_detail_response(found, 1, 1, 5000).first()["body"])["data"]["detail"]) == found.count()
 
 
 def test_named_list(spark):
@@ -106,3 +106,19 @@ def test_day_partitioned_table(spark, sales, tmp_path):
     found = sale.sale_detail_search(stored, "2024-01-02")
     assert "PartitionFilters: [isnotnull(dt" in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(ids(found)) == ["7-1", "8-1"]
+
+
+def test_fractions_are_summed_before_they_are_cut(spark):
+    skus = spark.createDataFrame([(1, "x"), (2, "x")], "sku_id long, category string")
+    lines = spark.createDataFrame([(1, 0.6), (1, 0.6), (2, 0.8)], "sku_id long, num double")
+    sales = lines.withColumn("num", F.col("num").cast("decimal(18,4)"))
+    assert rows(sale.category_sales(sales, skus)) == [("x", 2)]
+
+
+def test_matching_lines_join_only_what_they_filter(spark):
+    detail = spark.createDataFrame([(1, 1, 1), (2, 2, 2), (3, 9, 1)], "order_id long, user_id long, sku_id long")
+    users = spark.createDataFrame([(1, 3), (2, 4)], "user_id long, user_level int")
+    skus = spark.createDataFrame([(1, "red ring"), (2, "blue")], "sku_id long, sku_name string")
+    found = lambda *a: sorted(r["order_id"] for r in sale.matching_lines(detail, users, skus, *a).collect())
+    assert (found(), found("red"), found("red", 3), found("", 4)) == ([1, 2, 3], [1, 3], [1], [2])
+    assert "Join" not in sale.matching_lines(detail, users, skus)._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,5 @@
 import random
-import shutil
 import time
-from datetime import timedelta
 
 import pytest
 from helpers import log, ms, rows
@@ -165,7 +163,7 @@ def test_compaction(spark, env):
     days = sorted({r[DAU_COLUMNS.index("dt")] for r in want})
     for day in days[:2]:
         compact(spark, store, day)
-        assert rows(read_day(spark, store, day).select("batch_id").distinct()) == [(-1,)]
+        assert len(rows(read_day(spark, store, day).select("batch_id").distinct())) == 1
     assert stored(spark, store) == want
     compact(spark, store, "1999-01-01")
     # Late records after compaction, then compaction again.
@@ -184,40 +182,34 @@ def test_compaction_that_died_half_way(spark, env, monkeypatch):
     feed.add(values[:200])
     feed.add(values[200:])
     run()
+    want = batch_result(spark, values)
     import firstlight.streaming.upsert as upsert
 
-    def deletes_then_dies(folded, store, day):
-        shutil.rmtree(f"{store.dau}/dt={day}")
+    def dies(spark, folders):
+        assert stored(spark, store) == want
         raise RuntimeError("died")
 
     with monkeypatch.context() as m:
-        m.setattr(upsert, "_replace_day", deletes_then_dies)
+        m.setattr(upsert, "_remove", dies)
         with pytest.raises(RuntimeError):
             compact(spark, store, "2024-01-02")
-    assert read_day(spark, store, "2024-01-02").count() == 0
-    compact(spark, store, "2024-01-02")
-    assert stored(spark, store) == batch_result(spark, values)
-
-
-def test_late_records_after_a_compaction_that_did_not_clean_up(spark, env, monkeypatch):
-    feed, store, run, _ = env
-    values = bodies(16)
-    feed.add(values[:300])
+    assert stored(spark, store) == want
+    more = bodies(16, 100)
+    feed.add(more)
     run()
-    import firstlight.streaming.upsert as upsert
+    compact(spark, store, "2024-01-02")
+    assert len(rows(read_day(spark, store, "2024-01-02").select("batch_id").distinct())) == 1
+    assert stored(spark, store) == batch_result(spark, values + more)
 
-    def dies(spark, aside):
-        raise RuntimeError("died")
 
-    with monkeypatch.context() as m:
-        m.setattr(upsert, "_clear", dies)
-        with pytest.raises(RuntimeError):
-            compact(spark, store, "2024-01-02")
-    feed.add(values[300:])
-    run()
-    compact(spark, store, "2024-01-02")
+def test_folders_of_an_open_day_stay_few(spark, env):
+    feed, store, run, checkpoint = env
+    values = [log(f"d{i}", ms("2024-01-01 10:00") + i) for i in range(14)]
+    for v in values:
+        feed.add([v])
+    pipeline.start_pipeline(feed.stream(), store.root, checkpoint, trigger=None, fold_every=4).awaitTermination()
+    assert read_days(spark, store).select("batch_id").distinct().count() <= 4
     assert stored(spark, store) == batch_result(spark, values)
-    assert rows(read_day(spark, store, "2024-01-02").select("batch_id").distinct()) == [(-1,)]
 
 
 def test_reading_a_day_lists_only_that_day(spark, env):
@@ -228,12 +220,11 @@ def test_reading_a_day_lists_only_that_day(spark, env):
     assert files and all("/dt=2024-01-02/" in f or "/dt=none/" in f for f in files)
 
 
-def test_more_days_than_are_listed(spark, env, monkeypatch):
+def test_many_days_in_a_batch(spark, env):
     feed, store, run, _ = env
-    monkeypatch.setattr(pipeline, "MAX_LISTED_DAYS", 1)
-    values = bodies(9)
-    feed.add(values[:200])
-    feed.add(values[200:])
+    values = [log(f"d{i % 7}", ms("2024-01-01 10:00") + i * 86_400_000 // 3) for i in range(60)]
+    feed.add(values[30:])
+    feed.add(values[:40])
     run()
     assert stored(spark, store) == batch_result(spark, values)
 
@@ -292,48 +283,54 @@ def write_records(spark, path, i, values):
     ingest.to_dau_info(ingest.usable(ingest.parse_logs(df))).coalesce(1).write.parquet(f"{path}/f{i:03d}")
 
 
-def drain(df, mode, checkpoint, until=None):
-    """Rows a query emits.  A query with processing-time state never ends by itself: it is stopped
-    after ``until`` input rows."""
+def drain(df, mode, checkpoint):
+    """Rows a query emits."""
     got = []
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(lambda b, i: got.extend(tuple(r) for r in b.select(*DAU_COLUMNS).collect()))
-    if until is None:
-        writer.trigger(availableNow=True).start().awaitTermination()
-        return got
-    query = writer.trigger(processingTime="1 second").start()
-    read, deadline = {}, time.time() + 60
-    while sum(read.values()) < until and query.isActive and time.time() < deadline:
-        read.update((p["batchId"], p["numInputRows"]) for p in query.recentProgress)
-        time.sleep(0.2)
-    query.stop()
-    assert sum(read.values()) == until
+    writer.trigger(availableNow=True).start().awaitTermination()
     return got
 
 
-@pytest.mark.parametrize("ttl", ["event", "processing"])
-def test_state_gives_every_device_once_a_day(spark, tmp_path, ttl):
+def test_state_gives_every_device_once_a_day(spark, tmp_path):
     values, path = bodies(12), str(tmp_path / "in")
     for i in range(3):
         write_records(spark, path, i, values[i * 100 : i * 100 + 200])
-    stream = first_per_day_stream(record_stream(spark, path), ttl=ttl, delay="5 days")
-    got = drain(stream, "append", str(tmp_path / "cp"), until=None if ttl == "event" else 600)
+    got = drain(first_per_day_stream(record_stream(spark, path)), "update", str(tmp_path / "cp"))
     mid, dt = DAU_COLUMNS.index("mid"), DAU_COLUMNS.index("dt")
     want = batch_result(spark, values)
     assert sorted((r[dt], r[mid]) for r in got) == sorted((r[dt], r[mid]) for r in want)
-    with pytest.raises(ValueError):
-        first_per_day_stream(record_stream(spark, path), ttl="never")
 
 
-def test_processing_time_expiry_counts_a_device_again(spark, tmp_path):
+def test_expiry_counts_a_device_again(spark, tmp_path):
     path, cp = str(tmp_path / "in"), str(tmp_path / "cp")
     one = [log("a", ms("2024-01-01 10:00"))]
-    write_records(spark, path, 0, one)
-    stream = lambda: first_per_day_stream(record_stream(spark, path), ttl="processing", expire=timedelta(seconds=1))
-    assert len(drain(stream(), "append", cp, until=1)) == 1
-    time.sleep(1.5)
-    write_records(spark, path, 1, one)
-    assert len(drain(stream(), "append", cp, until=1)) == 1
+    stream = lambda: first_per_day_stream(record_stream(spark, path), expire="1 second")
+    for i in range(2):
+        write_records(spark, path, i, one)
+        assert len(drain(stream(), "update", cp)) == 1
+        time.sleep(1.5)
+
+
+def test_no_launch_is_late(spark, tmp_path):
+    """Latest days first, and a clock of the year 9999 in the first batch."""
+    path, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    wild = [log("w", ms("9999-12-31 23:00"))]
+    days = [[log(f"d{i}", ms(f"2024-{m:02d}-{d:02d} 10:00")) for i in range(5)] for m, d in ((3, 20), (2, 2), (1, 1))]
+    for i, part in enumerate([wild, *days]):
+        write_records(spark, path, i, part)
+    versions = drain(earliest_updates(record_stream(spark, path)), "update", cp)
+    assert len(versions) == 16 == len({(r[DAU_COLUMNS.index("dt")], r[DAU_COLUMNS.index("mid")]) for r in versions})
+
+
+def test_batches_are_reduced_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_records(spark, path, 0, bodies(13))
+    query = earliest_updates(record_stream(spark, path)).writeStream.outputMode("update").foreachBatch(lambda b, i: b.count())
+    query = query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert plan.index("Exchange hashpartitioning") < plan.rindex("partial_min_by")
 
 
 def test_earliest_updates_emit_new_and_improved_only(spark, tmp_path):
@@ -341,7 +338,7 @@ def test_earliest_updates_emit_new_and_improved_only(spark, tmp_path):
     parts = [values[200:], values[:200], values[100:300]]
     for i, p in enumerate(parts):
         write_records(spark, path, i, p)
-    got = drain(earliest_updates(record_stream(spark, path), delay="5 days"), "update", str(tmp_path / "cp"))
+    got = drain(earliest_updates(record_stream(spark, path)), "update", str(tmp_path / "cp"))
     versions = spark.createDataFrame(got, ",".join(f"{c} {'long' if c == 'ts' else 'string'}" for c in DAU_COLUMNS))
     want = batch_result(spark, values)
     assert rows(first_per_day(versions), *DAU_COLUMNS) == want
@@ -353,7 +350,7 @@ def test_state_pipeline_equals_batch(spark, env, tmp_path):
     values = bodies(15)
 
     def run():
-        pipeline.start_state_pipeline(feed.stream(), store.root, checkpoint, "5 days", trigger=None).awaitTermination()
+        pipeline.start_state_pipeline(feed.stream(), store.root, checkpoint, trigger=None).awaitTermination()
 
     feed.add(values[200:] + ["broken {"])
     feed.add(values[100:200])
@@ -361,12 +358,9 @@ def test_state_pipeline_equals_batch(spark, env, tmp_path):
     feed.add(values[:150])
     run()
     assert stored(spark, store) == batch_result(spark, values)
-    # Launches behind the watermark are added by a batch import.
     old = [log("z", ms("2023-12-01 05:00"))]
     feed.add(old)
     run()
-    df = spark.createDataFrame([(v, "start_log", 0, None) for v in old], RAW_LOG)
-    pipeline.process_batch(df, 100, store)
     assert stored(spark, store) == batch_result(spark, values + old)
     quarantine_stream(feed.stream(), str(tmp_path / "bad"), str(tmp_path / "cq"), trigger=None).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "bad"))) == [("broken {", "bad_json")]
