@@ -16,6 +16,9 @@ pairs its holders only with the holder that has it earliest; verified links
 are contracted. Then all candidate pairs that still cross components are
 generated and verified, so no link between components is missed.
 
+Candidates are first held against histograms of their sets, which bound what
+two sets can share; the sets themselves are only made and moved for the rest.
+
 The frequency table holds shingles with at least 1/MOST_FREQUENT of all
 occurrences, so it has at most MOST_FREQUENT rows at any corpus size. It
 steers cost only: any order gives the same links.
@@ -38,7 +41,9 @@ from firstlight.llm.components import components
 from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
 from firstlight.llm.tables import stored
 
-MOST_FREQUENT = 1 << 18
+MOST_FREQUENT = 1 << 22
+BINS = 64
+MOST_BINNED = 1 << 20
 MOST_MATCHES = 6
 # Cost model of the choice of m: an index row, a candidate's verification per shingle,
 # and the chance holders of a shingle that is not known to be frequent.
@@ -76,6 +81,17 @@ def set_hashes(sets: list[np.ndarray], factor: np.uint64 = _FACTORS[0]) -> np.nd
     return mix(total + np.array([len(s) for s in sets], dtype=np.uint64) * factor)
 
 
+def histogram(shingles: np.ndarray) -> bytes:
+    """How many of the shingles fall into each of BINS parts of the hash range, as 16-bit counts.
+
+    Two sets cannot share more than the sum of the lesser counts. A set too
+    large for the counts has none and is bounded by nothing.
+    """
+    if len(shingles) > MOST_BINNED:
+        return b""
+    return np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.uint16).tobytes()
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -141,7 +157,7 @@ def prefix(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray, threshold
 
 
 def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, class, m, prefix``: the hash of each row's set, its choice of m and its prefix."""
+    """``doc_id, n, class, m, bins, prefix``: the hash of each row's set, its choice of m, its histogram and its prefix."""
     sent = docs.sparkSession.sparkContext.broadcast((keys, counts))
 
     def run(batches):
@@ -154,12 +170,12 @@ def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, count
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("doc_id"), pa.array(n), pa.array(_signed(set_hashes(sets))),
-                        pa.array([m for _, m in chosen], pa.int32()), pa.array([_signed(p) for p, _ in chosen], pa.list_(pa.int64())),
+                        pa.array([m for _, m in chosen], pa.int32()), pa.array([histogram(s) for s in sets], pa.binary()), pa.array([_signed(p) for p, _ in chosen], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "class", "m", "prefix"],
+                    ["doc_id", "n", "class", "m", "bins", "prefix"],
                 )
 
-    schema = "doc_id long, n long, class long, m int, prefix array<long>"
+    schema = "doc_id long, n long, class long, m int, bins binary, prefix array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -240,9 +256,29 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return kept.select("class", "tokens").dropDuplicates(["class"])
 
 
+def _possible(pairs: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
+    """The pairs whose histograms leave room for a link; an exact bound that needs no set to be moved."""
+    met = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
+    bins = found.select("class", "n", "bins").join(met, "class", "left_semi").dropDuplicates(["class"])
+    side = lambda c: bins.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("bins").alias(f"bins_{c}"))
+
+    def run(batches):
+        for b in batches:
+            columns = [b.column(c).to_pylist() for c in ("bins_u", "bins_v")]
+            small = np.array([bool(x) and bool(y) for x, y in zip(*columns)], dtype=bool)
+            x, y = (np.frombuffer(b"".join(v for v, ok in zip(c, small) if ok), dtype=np.uint16).reshape(-1, BINS) for c in columns)
+            n = b.column("n_u").to_numpy() + b.column("n_v").to_numpy()
+            keep = np.ones(b.num_rows, dtype=bool)
+            keep[small] = (100 + threshold) * np.minimum(x, y).sum(axis=1, dtype=np.int64) >= threshold * n[small]
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([b.column("u").take(at), b.column("v").take(at)], ["u", "v"])
+
+    return pairs.join(side("u"), "u").join(side("v"), "v").mapInArrow(run, "u long, v long")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
     """The pairs whose sets link; only sets of classes in a pair are made and moved."""
-    pairs = stored(pairs, "jaccard-pairs")
+    pairs = stored(_possible(stored(pairs, "jaccard-candidates"), found, threshold), "jaccard-pairs")
     met = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
     wanted = found.join(met, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sets = stored(_sets(docs, stored(wanted, "jaccard-wanted"), width), "jaccard-sets")
