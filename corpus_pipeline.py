@@ -40,11 +40,8 @@ def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentencepieces.decode(sentencepieces.encode(docs, model, keep=["lang", "source"]), model)
-    return encoded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("lossless"),
-    )
+    encoded = sentencepieces.encode(docs, model, keep=["lang", "source"], checked=True)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
 
 
 STAGES = [

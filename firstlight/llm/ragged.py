@@ -70,6 +70,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + lengths * np.uint64(0xD1B54A32D192ED03))
 
 
+_POINTS = None
+
+
+def point_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As ``span_hashes``, over code points."""
+    global _POINTS
+    if _POINTS is None:
+        _POINTS = mix(np.arange(1, 0x110001, dtype=np.uint64))
+    up, down = _powers(len(points) + 1)
+    total = np.zeros(len(points) + 1, dtype=np.uint64)
+    np.cumsum(_POINTS[points] * up[: len(points)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts in a row, and where each begins; the last offset is the length."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -35,13 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firstlight.llm.ragged import chunks, mix
+from firstlight.llm.ragged import chunks, mix, point_hashes
 
 DROPOUT = 0.1
 SEED = 20
-VARIANTS = 16
+VARIANTS = 4
 AGENDA_FROM = 64
-MEMO_ENTRIES = 1 << 19
 CHUNK_BYTES = 1 << 20
 BLANK = "▁"
 PART = re.compile(f"{BLANK}*[^{BLANK}]*")
@@ -209,25 +208,22 @@ def part_keys(seed: int, doc_keys: np.ndarray, numbers: np.ndarray, variants: in
 
 
 class Encoder:
-    """Encodes texts; parts met before with the same key are remembered up to a bound."""
+    """Encodes texts; parts of a call that are equal and have equal keys are encoded once.
 
-    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED, entries: int = MEMO_ENTRIES):
-        self.pieces, self.dropout, self.seed, self.entries = pieces, dropout, seed, entries
-        self._clear()
+    Such parts are found by a 64-bit hash of their code points and key.
+    """
 
-    def _clear(self) -> None:
-        self.memo: dict[tuple[str, int], int] = {}
-        self.ids, self.starts = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED):
+        self.pieces, self.dropout, self.seed = pieces, dropout, seed
 
-    def _learn(self, new: list[tuple[str, int]]) -> None:
-        """Encodes parts with their keys and remembers them."""
-        sizes = np.array([len(w) for w, _ in new])
-        keys = np.array([k for _, k in new], dtype=np.uint64)
+    def _encode(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in a row and the number of each."""
+        sizes = np.array([len(w) for w in words])
         short = np.flatnonzero(sizes <= AGENDA_FROM)
-        symbols, owner = encode_together(self.pieces, [new[i][0] for i in short.tolist()], keys[short], self.dropout)
+        symbols, owner = encode_together(self.pieces, [words[i] for i in short.tolist()], keys[short], self.dropout)
         owner = short[owner]
         for i in np.flatnonzero(sizes > AGENDA_FROM).tolist():
-            long = encode_by_agenda(self.pieces, new[i][0], new[i][1], self.dropout)
+            long = encode_by_agenda(self.pieces, words[i], int(keys[i]), self.dropout)
             symbols, owner = np.append(symbols, long), np.append(owner, np.full(len(long), i))
         order = np.argsort(owner, kind="stable")
         symbols, owner = symbols[order], owner[order]
@@ -240,35 +236,34 @@ class Encoder:
             wide = np.repeat(symbols, times)
             wide[wide < 0] = np.concatenate(spread)
             symbols, owner = wide, np.repeat(owner, times)
-        self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
-        self.ids = np.concatenate([self.ids, symbols.astype(np.int32)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.bincount(owner, minlength=len(new)))])
+        return symbols.astype(np.int32), np.bincount(owner, minlength=len(words))
 
     def __call__(self, texts: list[str], keys_of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and the number of each text's."""
-        found = [parts(escape(t)) for t in texts]
-        per_text = np.array([len(p) for p in found], dtype=np.int64)
-        if not per_text.sum():
-            return np.zeros(0, dtype=np.int32), per_text
-        first = np.cumsum(per_text) - per_text
-        seen: dict[str, int] = {}
-        word = np.array([seen.setdefault(p, len(seen)) for ps in found for p in ps], dtype=np.int64)
-        numbers = np.arange(len(word)) - np.repeat(first, per_text)
-        keys = part_keys(self.seed, np.repeat(keys_of_docs, per_text), numbers) if self.dropout else np.zeros(len(word), dtype=np.uint64)
-        key, keys_found = pd.factorize(keys)
-        both, unique = pd.factorize(word * len(keys_found) + key)
-        names, drawn = list(seen), keys_found.tolist()
-        wanted = [(names[w], drawn[k]) for w, k in zip((unique // len(drawn)).tolist(), (unique % len(drawn)).tolist())]
-        if len(self.memo) > self.entries:
-            self._clear()
-        new = [x for x in wanted if x not in self.memo]
-        if new:
-            self._learn(new)
-        entry = np.array([self.memo[x] for x in wanted], dtype=np.int64)[both]
-        begin, size = self.starts[entry], self.starts[entry + 1] - self.starts[entry]
-        bounds = np.append(0, np.cumsum(size))
-        ids = self.ids[np.repeat(begin - bounds[:-1], size) + np.arange(bounds[-1])]
-        return ids, bounds[first + per_text] - bounds[first]
+        escaped = [escape(t) for t in texts]
+        joined = "".join(escaped)
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        offsets = np.append(0, np.cumsum([len(t) for t in escaped], dtype=np.int64))
+        if not len(points):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
+        # A part begins with a run of blanks; every text begins with a blank.
+        blank = points == ord(BLANK)
+        begins = blank & ~np.append(False, blank[:-1])
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(points))
+        bounds = np.searchsorted(starts, offsets)
+        per_text = np.diff(bounds)
+        numbers = np.arange(len(starts)) - np.repeat(bounds[:-1], per_text)
+        keys = part_keys(self.seed, np.repeat(keys_of_docs, per_text), numbers) if self.dropout else np.zeros(len(starts), dtype=np.uint64)
+        both, unique = pd.factorize(mix(point_hashes(points, starts, ends) + keys))
+        seen = np.zeros(len(unique), dtype=np.int64)
+        seen[both[::-1]] = np.arange(len(both) - 1, -1, -1)
+        found, count = self._encode([joined[a:b] for a, b in zip(starts[seen].tolist(), ends[seen].tolist())], keys[seen])
+        begin, size = (np.cumsum(count) - count)[both], count[both]
+        out_at = np.append(0, np.cumsum(size))
+        ids = found[np.repeat(begin - out_at[:-1], size) + np.arange(out_at[-1])]
+        return ids, out_at[bounds[1:]] - out_at[bounds[:-1]]
 
 
 def decode_ids(pieces: Pieces, ids: list[int]) -> str:
@@ -280,21 +275,41 @@ def doc_keys(column: pa.Array) -> np.ndarray:
     return mix(np.array([x or 0 for x in column.to_pylist()], dtype=np.int64).view(np.uint64))
 
 
-def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
-    """``doc_id, text, ids`` and the columns in ``keep``: the piece ids of every row, with its text."""
-    keep = keep or []
+def _chunks_encoded(batches, model: str, dropout: float, seed: int):
+    """Slices of the batches with their ids in a row and where each row's begin."""
+    encoder = Encoder(load(model), dropout, seed)
+    for batch in batches:
+        for b in chunks(batch, limit=CHUNK_BYTES):
+            ids, n = encoder([t or "" for t in b.column("text").to_pylist()], doc_keys(b.column("doc_id")))
+            yield b, ids, np.append(0, np.cumsum(n))
+
+
+def _decoded(model: str, ids: np.ndarray, offsets: np.ndarray):
+    pieces = load(model)
+    for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        yield decode_ids(pieces, ids[begin:end].tolist())
+
+
+def encode(
+    docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, keep: list[str] | None = None, checked: bool = False
+) -> DataFrame:
+    """``doc_id, text, ids`` and the columns in ``keep``: the piece ids of every row, with its text.
+
+    ``checked`` adds ``lossless``: whether decoding the ids gives the text.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *(keep or []))
 
     def run(batches):
-        encoder = Encoder(load(model), dropout, seed)
-        for batch in batches:
-            for b in chunks(batch, limit=CHUNK_BYTES):
-                ids, n = encoder([t or "" for t in b.column("text").to_pylist()], doc_keys(b.column("doc_id")))
-                offsets = np.append(0, np.cumsum(n)).astype(np.int32)
-                rows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-                yield b.append_column("ids", rows)
+        for b, ids, offsets in _chunks_encoded(batches, model, dropout, seed):
+            texts = b.column("text")
+            out = b.append_column("ids", pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)))
+            if checked:
+                same = [(t.as_py() or "") == d for t, d in zip(texts, _decoded(model, ids, offsets))]
+                out = out.append_column("lossless", pa.array(same, pa.bool_()))
+            yield out
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", *keep)
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    fields = [*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    return rows.mapInArrow(run, T.StructType(fields + [T.StructField("lossless", T.BooleanType())] * checked))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -310,23 +325,22 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens, ids_crc32, text_sha256, lossless`` of every row; the last two are of the decoded text."""
+    """``doc_id, n_bytes, n_tokens, ids_crc32, text_sha256, lossless`` of every row; the bytes are those of the decoded text."""
 
     def run(batches):
-        for b in batches:
-            ids = b.column("ids")
-            flat, offsets = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy() - ids.offsets[0].as_py()
-            texts = [(t or "") for t in b.column("text").to_pylist()]
-            decoded = b.column("decoded").to_pylist()
-            raw = [d.encode("utf-8", "surrogatepass") for d in decoded]
+        for b, ids, offsets in _chunks_encoded(batches, model, dropout, seed):
+            flat, columns = ids.astype("<u4"), [[], [], [], []]
+            for t, d, p, q in zip(b.column("text"), _decoded(model, ids, offsets), offsets[:-1].tolist(), offsets[1:].tolist()):
+                raw = d.encode("utf-8", "surrogatepass")
+                for column, value in zip(columns, (len(raw), zlib.crc32(flat[p:q].tobytes()), hashlib.sha256(raw).hexdigest(), (t.as_py() or "") == d)):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("doc_id"), pa.array([len(r) for r in raw], pa.int64()), pa.array(np.diff(offsets).astype(np.int64)),
-                    pa.array([zlib.crc32(flat[p:q].tobytes()) for p, q in zip(offsets[:-1], offsets[1:])], pa.int64()),
-                    pa.array([hashlib.sha256(r).hexdigest() for r in raw]), pa.array([t == d for t, d in zip(texts, decoded)], pa.bool_()),
+                    b.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(np.diff(offsets).astype(np.int64)),
+                    pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.bool_()),
                 ],
                 ["doc_id", "n_bytes", "n_tokens", "ids_crc32", "text_sha256", "lossless"],
             )
 
     schema = "doc_id long, n_bytes long, n_tokens long, ids_crc32 long, text_sha256 string, lossless boolean"
-    return decode(encode(docs, model, dropout, seed), model).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
