@@ -37,7 +37,7 @@ from firstlight.llm.tables import stored
 DEPTH = 5
 # Not a byte of UTF-8: the end of a text, and what stands before its beginning.
 END = 0xFF
-FREQUENT = 1 << 21
+FREQUENT = 1 << 19
 BITS = 8
 # Nodes of this depth and deeper are in parts of the tree of their own.
 SPLIT = 2
@@ -313,6 +313,7 @@ def score(docs: DataFrame, training: DataFrame, most: int = FREQUENT) -> DataFra
     cold = "array<struct<key: long, n: long>>"
     schema = f"row long, doc_id long, n_tokens long, n_known long, base_score double, score double, cold_words {cold}, cold_pairs {cold}"
     found = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema), "tree-scored")
+    sent.destroy()
 
     other_words = found.select("row", F.inline("cold_words")).join(vocabulary.select("key", F.col("n").alias("c")), "key", "left")
     count = F.coalesce("c", F.lit(0))
@@ -320,7 +321,8 @@ def score(docs: DataFrame, training: DataFrame, most: int = FREQUENT) -> DataFra
         F.sum(F.log10((count + 0.5) / F.lit(floor)) * F.col("n")).alias("more_base"), F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("more_known")
     )
     other_pairs = stored(found.select("row", F.inline("cold_pairs")), "tree-other")
-    told = pair_scores(pairs, other_pairs.select("key").distinct(), top)
+    told = stored(pair_scores(pairs, other_pairs.select("key").distinct(), top), "tree-told")
+    top.destroy()
     pair_sums = other_pairs.join(told, "key").groupBy("row").agg(F.sum(F.col("log10") * F.col("n")).alias("more_score"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     joined = found.drop("cold_words", "cold_pairs").join(word_sums, "row", "left").join(pair_sums, "row", "left")
