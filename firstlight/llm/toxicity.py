@@ -55,7 +55,7 @@ LOOK_ALIKES = {
 MASKS = "*#"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # Costs of the channel, in nats.
-SUBSTITUTED, DROPPED, MASKED, DOUBLED = 1.0, 0.7, 1.5, 1.0
+SUBSTITUTED, DROPPED, MASKED, DOUBLED, STRAY = 1.0, 0.7, 1.5, 1.0, 9.0
 
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[b for b in range(33, 127) if not chr(b).isalpha()]] = True
@@ -100,7 +100,7 @@ class CharModel:
                 # Nobody types a letter three times by chance: one or two are meant.
                 readings = [(c * run, 0.0)] if run < 3 else [(c, 0.0), (c + c, DOUBLED)]
             else:
-                readings = [("", DROPPED)]
+                readings = [("", DROPPED if c not in LOOK_ALIKES else STRAY)]
                 for meant in LOOK_ALIKES.get(c, ""):
                     readings += [(meant * k, SUBSTITUTED * (1 if run < 3 else 2)) for k in ({run} if run < 3 else {1, 2})]
                 if c in MASKS and run < 4:
