@@ -9,6 +9,11 @@ seed, the document's id and the number of the part in its text; a candidate is
 named by its place in the part. One seed gives one segmentation, on any
 cluster and in any retry.
 
+Equal parts share work only as far as their keys agree. The merges of a word
+are found without dropout first; each occurrence holds them against its own
+key. Occurrences that drop the same candidate go on together from there, so
+every part gets what it would get if it were encoded alone.
+
 Characters outside the vocabulary become byte pieces, and so does U+2581
 itself, which makes decoding give back every text exactly.
 
@@ -39,8 +44,9 @@ from firstlight.llm.ragged import chunks, mix, point_hashes
 
 DROPOUT = 0.1
 SEED = 20
-VARIANTS = 4
 AGENDA_FROM = 64
+# Rounds in which occurrences of a word are told apart by what they drop, before the rest is encoded one by one.
+SHARED_ROUNDS = 12
 CHUNK_BYTES = 1 << 20
 BLANK = "▁"
 PART = re.compile(f"{BLANK}*[^{BLANK}]*")
@@ -147,13 +153,19 @@ def encode_by_agenda(pieces: Pieces, part: str, key: int, dropout: float) -> lis
 
 def encode_together(pieces: Pieces, texts: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of many parts in a row and the part of each: every round takes the best candidate of each part."""
+    limit = _threshold(dropout)
+    return _merge_together(pieces, texts, (lambda part, *place: candidate_hash(keys[part], *place) < limit) if dropout else None)
+
+
+def _merge_together(pieces: Pieces, texts: list[str], dropped=None, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """As ``encode_together``, without the candidates that ``dropped(part, begin, middle, end)`` tells; ``taken`` gets the merges of each round."""
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
     distinct, at = np.unique(points, return_inverse=True)
     symbol = np.array([pieces.id.get(chr(c), -int(c) - 1) for c in distinct.tolist()], dtype=np.int64)[at]
     part = np.repeat(np.arange(len(texts)), lengths)
     begin = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    end, limit = begin + 1, _threshold(dropout)
+    end = begin + 1
     done_symbol, done_part = [], []
 
     def offers(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,10 +173,10 @@ def encode_together(pieces: Pieces, texts: list[str], keys: np.ndarray, dropout:
         key = symbol[i] * pieces.size + symbol[i + 1]
         where = np.minimum(np.searchsorted(pieces.pair_keys, key), len(pieces.pair_keys) - 1)
         near = (part[i] == part[i + 1]) & (symbol[i] >= 0) & (symbol[i + 1] >= 0) & (pieces.pair_keys[where] == key)
-        if dropout:
+        if dropped is not None:
             some = np.flatnonzero(near)
             j = i[some]
-            near[some] = candidate_hash(keys[part[j]], begin[j], begin[j + 1], end[j + 1]) >= limit
+            near[some] = ~dropped(part[j], begin[j], begin[j + 1], end[j + 1])
         made = pieces.made[where]
         return np.where(near, pieces.score[made], -np.inf), made
 
@@ -182,6 +194,8 @@ def encode_together(pieces: Pieces, texts: list[str], keys: np.ndarray, dropout:
         # Of equal scores in a part the leftmost goes first.
         i = np.flatnonzero((score == np.repeat(best, sizes)) & ~idle)
         i = i[np.append(True, part[i[1:]] != part[i[:-1]])] if len(i) else i
+        if taken is not None:
+            taken.append(np.stack([part[i], begin[i], begin[i + 1], end[i + 1]]))
         symbol[i], end[i] = made[i], end[i + 1]
         keep = ~idle
         keep[i + 1] = False
@@ -200,31 +214,101 @@ def encode_together(pieces: Pieces, texts: list[str], keys: np.ndarray, dropout:
     return np.concatenate(done_symbol)[order], part[order]
 
 
-def part_keys(seed: int, doc_keys: np.ndarray, numbers: np.ndarray, variants: int = VARIANTS) -> np.ndarray:
-    """The key of each part: one of ``variants``, by the seed, the document and the part's number."""
+def encode_occurrences(pieces: Pieces, words: list[str], word: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``encode_together`` of ``words[word]`` with ``keys``: symbols of the distinct results, the result of each, and the result of each occurrence.
+
+    A round has states, each a word and the candidates dropped so far. An
+    occurrence whose key drops none of its state's merges has the state's
+    result; the others go to the state that also drops their first such merge.
+    """
+    limit, result = _threshold(dropout), np.zeros(len(word), dtype=np.int64)
+    symbols, owners, made = [], [], 0
+    left, state, of_state = np.arange(len(word)), word, np.arange(len(words))
+    banned = np.zeros((4, 0), dtype=np.int64)  # state, begin, middle, end
+
+    def add(found: np.ndarray, owner: np.ndarray, n: int) -> None:
+        nonlocal made
+        symbols.append(found)
+        owners.append(owner + made)
+        made += n
+
+    for _ in range(SHARED_ROUNDS):
+        if 2 * len(of_state) > len(left):
+            break
+        # Texts are short, so a place fits into 21 bits.
+        named = lambda part, begin, middle, end: ((part * 128 + begin) * 128 + middle) * 128 + end
+        skipped = np.sort(named(*banned))
+
+        def dropped(*candidate, skipped=skipped):
+            asked = named(*candidate)
+            return skipped[np.minimum(np.searchsorted(skipped, asked), len(skipped) - 1)] == asked
+
+        taken: list[np.ndarray] = []
+        found = _merge_together(pieces, [words[i] for i in of_state.tolist()], dropped if len(skipped) else None, taken)
+        merges = np.concatenate([np.zeros((4, 0), dtype=np.int64), *taken], axis=1)
+        merges = merges[:, np.argsort(merges[0], kind="stable")]
+        begins = np.searchsorted(merges[0], np.arange(len(of_state) + 1))
+        n = np.diff(begins)[state]
+        occurrence = np.repeat(np.arange(len(left)), n)
+        at = np.arange(len(occurrence)) + np.repeat(begins[state] - (np.cumsum(n) - n), n)
+        out = np.flatnonzero(candidate_hash(keys[left][occurrence], *merges[1:, at]) < limit)
+        who, first = np.unique(occurrence[out], return_index=True)
+        result[left] = made + state
+        add(*found, len(of_state))
+        # A merge belongs to one state, so it names the state that drops it too.
+        told, state = np.unique(at[out[first]], return_inverse=True)
+        old = merges[0, told]
+        order = np.argsort(banned[0], kind="stable")
+        banned = banned[:, order]
+        lo, hi = np.searchsorted(banned[0], old), np.searchsorted(banned[0], old, side="right")
+        kept = np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo) + np.arange((hi - lo).sum())
+        handed = np.concatenate([np.repeat(np.arange(len(told)), hi - lo)[None], banned[1:, kept]])
+        banned = np.concatenate([handed, np.concatenate([np.arange(len(told))[None], merges[1:, told]])], axis=1)
+        left, of_state = left[who], of_state[old]
+        if not len(left):
+            break
+    if len(left):
+        result[left] = made + np.arange(len(left))
+        add(*encode_together(pieces, [words[i] for i in word[left].tolist()], keys[left], dropout), len(left))
+    return np.concatenate([np.zeros(0, dtype=np.int64), *symbols]), np.concatenate([np.zeros(0, dtype=np.int64), *owners]), result
+
+
+def part_keys(seed: int, doc_keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The key of each part, by the seed, the document and the part's number."""
     own = mix(np.array([seed], dtype=np.int64).view(np.uint64))
-    drawn = mix(mix(doc_keys + own) ^ numbers.astype(np.uint64))
-    return mix(drawn % np.uint64(variants) + mix(own))
+    return mix(mix(mix(doc_keys + own) ^ numbers.astype(np.uint64)) + mix(own))
 
 
 class Encoder:
-    """Encodes texts; parts of a call that are equal and have equal keys are encoded once.
-
-    Such parts are found by a 64-bit hash of their code points and key.
-    """
+    """Encodes texts; equal parts of a call are found by a 64-bit hash of their code points."""
 
     def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED):
         self.pieces, self.dropout, self.seed = pieces, dropout, seed
 
-    def _encode(self, words: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all parts in a row and the number of each."""
+    def _encode(self, words: list[str], word: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all distinct results in a row, the number of each, and the result of each occurrence of a word."""
         sizes = np.array([len(w) for w in words])
         short = np.flatnonzero(sizes <= AGENDA_FROM)
-        symbols, owner = encode_together(self.pieces, [words[i] for i in short.tolist()], keys[short], self.dropout)
-        owner = short[owner]
-        for i in np.flatnonzero(sizes > AGENDA_FROM).tolist():
-            long = encode_by_agenda(self.pieces, words[i], int(keys[i]), self.dropout)
-            symbols, owner = np.append(symbols, long), np.append(owner, np.full(len(long), i))
+        place = np.cumsum(sizes <= AGENDA_FROM) - 1
+        result = np.zeros(len(word), dtype=np.int64)
+        here = np.flatnonzero(sizes[word] <= AGENDA_FROM)
+        few = [words[i] for i in short.tolist()]
+        if self.dropout:
+            symbols, owner, result[here] = encode_occurrences(self.pieces, few, place[word[here]], keys[here], self.dropout)
+        else:
+            (symbols, owner), result[here] = encode_together(self.pieces, few, keys, 0.0), place[word[here]]
+        n = int(owner.max(initial=-1)) + 1
+        long, known = [], {}
+        for o in np.flatnonzero(sizes[word] > AGENDA_FROM).tolist():
+            named = (int(word[o]), int(keys[o]) if self.dropout else 0)
+            if named not in known:
+                known[named] = n + len(long)
+                long.append(np.array(encode_by_agenda(self.pieces, words[word[o]], named[1], self.dropout), dtype=np.int64))
+            result[o] = known[named]
+        if long:
+            symbols = np.concatenate([symbols, *long])
+            owner = np.concatenate([owner, np.repeat(n + np.arange(len(long)), [len(x) for x in long])])
+        n += len(long)
         order = np.argsort(owner, kind="stable")
         symbols, owner = symbols[order], owner[order]
         # Characters without a piece become their bytes.
@@ -236,7 +320,7 @@ class Encoder:
             wide = np.repeat(symbols, times)
             wide[wide < 0] = np.concatenate(spread)
             symbols, owner = wide, np.repeat(owner, times)
-        return symbols.astype(np.int32), np.bincount(owner, minlength=len(words))
+        return symbols.astype(np.int32), np.bincount(owner, minlength=n), result
 
     def __call__(self, texts: list[str], keys_of_docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and the number of each text's."""
@@ -256,10 +340,10 @@ class Encoder:
         per_text = np.diff(bounds)
         numbers = np.arange(len(starts)) - np.repeat(bounds[:-1], per_text)
         keys = part_keys(self.seed, np.repeat(keys_of_docs, per_text), numbers) if self.dropout else np.zeros(len(starts), dtype=np.uint64)
-        both, unique = pd.factorize(mix(point_hashes(points, starts, ends) + keys))
+        word, unique = pd.factorize(point_hashes(points, starts, ends))
         seen = np.zeros(len(unique), dtype=np.int64)
-        seen[both[::-1]] = np.arange(len(both) - 1, -1, -1)
-        found, count = self._encode([joined[a:b] for a, b in zip(starts[seen].tolist(), ends[seen].tolist())], keys[seen])
+        seen[word[::-1]] = np.arange(len(word) - 1, -1, -1)
+        found, count, both = self._encode([joined[a:b] for a, b in zip(starts[seen].tolist(), ends[seen].tolist())], word, keys)
         begin, size = (np.cumsum(count) - count)[both], count[both]
         out_at = np.append(0, np.cumsum(size))
         ids = found[np.repeat(begin - out_at[:-1], size) + np.arange(out_at[-1])]
