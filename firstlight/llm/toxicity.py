@@ -4,7 +4,7 @@ Words that look disguised (symbols or digits inside letters, letters spelled
 out with blanks, letters repeated) are restored first: each becomes a lattice
 of readings (a look-alike for a letter, a separator for nothing, a run for one
 or two letters), and the Viterbi path under a character trigram model learned
-from the training texts is taken. Words and restored words give features: the
+from all texts is taken. Words and restored words give features: the
 word and its beginnings of ``PREFIXES`` bytes, as 64-bit hashes.
 
 A feature is evidence if it stands in toxic training documents more often than
@@ -15,7 +15,11 @@ in a long text counts; without evidence it is half the share of toxic labels.
 
 The model is learned from at most about ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``
 labelled rows, chosen by a hash of the id; only their ids and labels are
-collected. Every row is scored, over its whole text.
+collected. Where the two are sampled at different rates, shares, the base rate
+and the calibration weigh each row by the inverse rate of its label, so scores
+are those of the table's own share of toxic rows. Chance is judged by the rows
+as drawn, against the base rate as drawn. Every row is scored, over its whole
+text.
 
 A null or empty text has no evidence. Documents with several labels count as
 toxic if any says so; labels that are null or without a document are ignored.
@@ -226,7 +230,7 @@ def _find(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Sorted feature keys with the toxic and all documents that have each.
+    """Sorted feature keys with the toxic and all documents that have each, weighted by label.
 
     The features are the evidence and all longer ones under it, so a clean
     word is not judged by its beginning alone: from the shortest known feature
@@ -279,13 +283,14 @@ class Model:
         return np.where(known, share, 0.0)
 
 
-def _sample(labelled: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and labels of at most about the given numbers of rows, by a hash of the id; sorted by id."""
+def _sample(labelled: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray, tuple[float, float]]:
+    """Ids and labels of at most about the given numbers of rows, by a hash of the id, sorted by id; the rates of clean and toxic rows."""
     n = {r[0]: r[1] for r in labelled.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1_000_000)) / 1_000_000
-    share = F.when(F.col("toxic") == 1, min(1.0, toxic / max(1, n.get(1, 0)))).otherwise(min(1.0, clean / max(1, n.get(0, 0))))
+    rates = min(1.0, clean / max(1, n.get(0, 0))), min(1.0, toxic / max(1, n.get(1, 0)))
+    share = F.when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
     rows = labelled.filter(draw < share).select("doc_id", "toxic").toPandas().sort_values("doc_id")
-    return rows["doc_id"].to_numpy(dtype=np.int64), rows["toxic"].to_numpy(dtype=np.int64)
+    return rows["doc_id"].to_numpy(dtype=np.int64), rows["toxic"].to_numpy(dtype=np.int64), rates
 
 
 def _label(ids: np.ndarray, labels: np.ndarray, column: pa.Array) -> np.ndarray:
@@ -304,7 +309,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     spark = docs.sparkSession
     given = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     given = given.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    sent = spark.sparkContext.broadcast(_sample(given, toxic, clean))
+    *sample, rates = _sample(given, toxic, clean)
+    sent = spark.sparkContext.broadcast(sample)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
 
     def labelled(batches):
@@ -316,8 +322,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
 
     def trigrams(batches):
         total = np.zeros((CharModel.SIZE,) * 3, dtype=np.int64)
-        for b in labelled(batches):
-            total += Tokens(b.column("text")).trigrams()
+        for batch in batches:
+            for b in chunks(batch, rows=CHUNK_ROWS):
+                total += Tokens(b.column("text")).trigrams()
         at = np.flatnonzero(total.ravel())
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["gram", "n"])
 
@@ -372,11 +379,14 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     in_clean, n_clean, n_toxic = counts[:-2], int(counts[-2]), int(counts[-1])
     if not n_toxic:
         return Model(chars, keys[:0], in_toxic[:0], in_toxic[:0], 0.0)
-    base = n_toxic / (n_toxic + n_clean)
+    # Weights of clean and toxic rows; over the sample they are 1 on average, so that PRIOR_DOCS stays a number of rows.
+    weight = np.array([1 / rates[0], 1 / rates[1]])
+    weight *= (n_toxic + n_clean) / (weight @ [n_clean, n_toxic])
+    base = weight[1] * n_toxic / (n_toxic + n_clean)
     n = in_toxic + in_clean
-    share = in_toxic / np.maximum(n, 1)
-    # Chernoff bound of the binomial tail: n times the divergence of the share from the base rate.
-    p, q = min(max(base, 1e-9), 1 - 1e-9), np.clip(share, 1e-12, 1 - 1e-12)
+    share = weight[1] * in_toxic / np.maximum(weight[1] * in_toxic + weight[0] * in_clean, 1e-300)
+    # Chernoff bound of the binomial tail: n times the divergence of the share from the base rate, both as drawn.
+    p, q = min(max(n_toxic / (n_toxic + n_clean), 1e-9), 1 - 1e-9), np.clip(in_toxic / np.maximum(n, 1), 1e-12, 1 - 1e-12)
     evidence = n * (q * np.log(q / p) + (1 - q) * np.log((1 - q) / (1 - p)))
     strong = np.sort(keys[(share >= LEAST_SHARE) & (share > base) & (evidence >= SIGNIFICANCE)])
     under = spark.sparkContext.broadcast(strong)
@@ -404,7 +414,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     pdf = known.toPandas()  # bounded by the sample
     keys = pdf["feature"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(keys)
-    model = Model(chars, keys[order], pdf["toxic"].to_numpy(dtype=np.float64)[order], pdf["n"].to_numpy(dtype=np.float64)[order], base)
+    in_toxic, n = (pdf[c].to_numpy(dtype=np.float64)[order] for c in ("toxic", "n"))
+    model = Model(chars, keys[order], weight[1] * in_toxic, weight[1] * in_toxic + weight[0] * (n - in_toxic), base)
     raw = spark.sparkContext.broadcast(model)
 
     def strongest(batches):
@@ -414,7 +425,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
             yield pa.RecordBatch.from_arrays([pa.array(odds), b.column("label")], ["odds", "label"])
 
     pdf = texts.mapInArrow(strongest, "odds double, label long").groupBy("odds", "label").agg(F.count("*").alias("n")).toPandas()
-    model.calibrate(pdf["odds"].to_numpy(dtype=np.float64), pdf["label"].to_numpy(dtype=np.float64), pdf["n"].to_numpy(dtype=np.float64))
+    label = pdf["label"].to_numpy(dtype=np.int64)
+    model.calibrate(pdf["odds"].to_numpy(dtype=np.float64), label, weight[label] * pdf["n"].to_numpy(dtype=np.float64))
     return model
 
 
