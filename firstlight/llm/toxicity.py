@@ -1,9 +1,11 @@
 """Toxicity by noisy-channel restoration and significant word evidence.
 
-Words that look disguised (symbols or digits inside letters, letters spelled
-out with blanks, letters repeated) are restored first: each becomes a lattice
-of readings (a look-alike for a letter, a separator for nothing, a run for one
-or two letters), and the Viterbi path under a character trigram model learned
+Words that look disguised (symbols or digits inside letters or at their edges,
+letters spelled out with blanks, letters repeated) are restored first: each
+becomes a lattice of readings (a look-alike for a letter or, at an edge, for
+nothing, a separator for nothing, a mask for any letter or nothing, a run for
+one or two letters, a blank between spelled letters for nothing or for the end
+of a word), and the Viterbi path under a character trigram model learned
 from all texts is taken. Words and restored words give features: the
 word and its beginnings of ``PREFIXES`` bytes, as 64-bit hashes.
 
@@ -57,16 +59,20 @@ LOOK_ALIKES = {
 }
 # Masks stand for any letter.
 MASKS = "*#"
+# Look-alikes that often stand at the edge of a word for themselves.
+PUNCTUATION = "!(|+"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # Costs of the channel, in nats.
 SUBSTITUTED, DROPPED, MASKED, DOUBLED, STRAY = 1.0, 0.7, 1.5, 1.0, 9.0
+# A letter typed twice for one, punctuation or another look-alike for nothing at an edge, a blank between spelled letters that ends a word.
+TWICE, AT_EDGE, NUMBERED, BROKEN = 6.0, 1.5, 8.0, 1.0
 
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[b for b in range(33, 127) if not chr(b).isalpha()]] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[b for b in range(97, 123)]] = True
 _LETTER[128:] = True
-# At an edge of a word these are read as letters when they stand alone there.
+# At an edge of a word these may be read as letters.
 _LEADING = np.zeros(256, dtype=bool)
 _LEADING[[ord(c) for c in LOOK_ALIKES if ord(c) < 128]] = True
 _TRAILING = _LEADING.copy()
@@ -92,7 +98,8 @@ class CharModel:
         return out
 
     def restore(self, word: str) -> str:
-        """The most likely reading of a disguised word."""
+        """The most likely reading of a disguised word; spelled-out letters may give several, with blanks between them."""
+        plain = [k for k, c in enumerate(word) if c.isalpha()] or [0, len(word) - 1]
         states = {(0, 0): (0.0, "")}
         i = 0
         while i < len(word):
@@ -102,21 +109,27 @@ class CharModel:
             i += run
             if c.isalpha():
                 # Nobody types a letter three times by chance: one or two are meant.
-                readings = [(c * run, 0.0)] if run < 3 else [(c, 0.0), (c + c, DOUBLED)]
+                readings = [(c * run, 0.0)] + [(c, TWICE)] * (run == 2) if run < 3 else [(c, 0.0), (c + c, DOUBLED)]
+            elif c == " ":
+                readings = [("", DROPPED), (" ", BROKEN)]
+            elif c in MASKS and 1 < run < 4:
+                # One mask after the other, each for a letter or for nothing.
+                i, readings = i - run + 1, [("", MASKED)] + [(x, MASKED) for x in LETTERS]
             else:
-                readings = [("", DROPPED if c not in LOOK_ALIKES else STRAY)]
+                edge = i - 1 < plain[0] or i - run > plain[-1]
+                readings = [("", DROPPED if c not in LOOK_ALIKES else (AT_EDGE if c in PUNCTUATION else NUMBERED * run) if edge else STRAY)]
                 for meant in LOOK_ALIKES.get(c, ""):
                     readings += [(meant * k, SUBSTITUTED * (1 if run < 3 else 2)) for k in ({run} if run < 3 else {1, 2})]
-                if c in MASKS and run < 4:
-                    readings += [(x, MASKED * 2) for x in LETTERS] if run == 1 else []
+                if c in MASKS and run == 1:
+                    readings += [(x, MASKED * 2) for x in LETTERS]
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (cost, text) in states.items():
                 for meant, price in readings:
                     p, q, total = a, b, cost + price
                     for ch in meant:
-                        k = ord(ch) - 96 if "a" <= ch <= "z" else 27
+                        k = ord(ch) - 96 if "a" <= ch <= "z" else 0 if ch == " " else 27
                         total -= self.log[p][q][k]
-                        p, q = q, k
+                        p, q = (q, k) if k else (0, 0)
                     if (p, q) not in after or total < after[p, q][0]:
                         after[p, q] = (total, text + meant)
             states = after
@@ -132,8 +145,8 @@ class Tokens:
         starts, ends, bounds = words(data, offsets)
         n_docs = len(offsets) - 1
         doc = np.repeat(np.arange(n_docs), np.diff(bounds))
-        # Letters spelled out one by one, three or more in a row.
-        lone = (ends - starts == 1) & _LETTER[data[starts]] if len(starts) else np.zeros(0, dtype=bool)
+        # Letters spelled out one by one, three or more in a row, look-alikes among them.
+        lone = (ends - starts == 1) & (_LETTER | _LEADING)[data[starts]] if len(starts) else np.zeros(0, dtype=bool)
         same = np.append(False, doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, dtype=bool)
         begins = lone & ~(np.append(False, lone[:-1]) & same) if len(lone) else lone
         run = np.cumsum(begins)
@@ -142,15 +155,27 @@ class Tokens:
             ids, first, count = np.unique(run[lone], return_index=True, return_counts=True)
             at = np.flatnonzero(lone)
             for f, c in zip(first[count >= 3].tolist(), count[count >= 3].tolist()):
-                spelled.append((int(doc[at[f]]), bytes(data[starts[at[f]] : ends[at[f + c - 1]]]).replace(b" ", b".").decode("utf-8", "replace")))
-        # Strip edges: positions of the first and last character that is no edge character.
-        inner = np.append(np.flatnonzero(~_EDGE[data]), len(data))
+                raw = bytes(data[starts[at[f]] : ends[at[f + c - 1]]])
+                if _LETTER[list(raw)].sum() > 1:
+                    spelled.append((int(doc[at[f]]), b" ".join(raw.split()).decode("utf-8", "replace")))
+        # Strip edges: positions of the first and last character that is no edge character, or may be a look-alike.
+        if len(starts):
+            closed = np.append(0, np.cumsum(data == ord(")")))
+            starts = starts + ((data[starts] == ord("(")) & (closed[ends] > closed[starts]))
+        near = lambda keep: np.append(np.flatnonzero(keep), len(data))
+        inner, leading, trailing = near(~_EDGE[data]), near((~_EDGE | _LEADING)[data]), near((~_EDGE | _TRAILING)[data])
         first = inner[np.searchsorted(inner, starts)] if len(starts) else starts
         last = inner[np.searchsorted(inner, ends) - 1] + 1 if len(starts) else ends
+        begin = leading[np.searchsorted(leading, starts)] if len(starts) else starts
+        end = trailing[np.searchsorted(trailing, ends) - 1] + 1 if len(starts) else ends
         some = (first < ends) & (last > starts) if len(starts) else np.zeros(0, dtype=bool)
-        starts, ends, first, last, doc = starts[some], ends[some], first[some], last[some], doc[some]
-        lead = (first - starts == 1) & _LEADING[data[starts]] if len(starts) else np.zeros(0, dtype=bool)
-        trail = (ends - last == 1) & _TRAILING[data[ends - 1]] if len(starts) else np.zeros(0, dtype=bool)
+        # Words of look-alikes alone, if they are of three or more that are not all the same.
+        differs = np.append(0, np.cumsum(np.append(False, data[1:] != data[:-1]))) if len(data) else np.zeros(1, dtype=np.int64)
+        bare = ~some & (end - begin >= 3) & (differs[np.minimum(np.maximum(end, begin), len(data))] > differs[np.minimum(begin + 1, len(data))]) if len(starts) else some
+        first, last = np.where(bare, begin, first), np.where(bare, end, last)
+        some = some | bare
+        starts, ends, first, last, begin, end, doc, bare = (x[some] for x in (starts, ends, first, last, begin, end, doc, bare))
+        lead, trail = begin < first, end > last
         letter = np.zeros(len(data) + 1, dtype=np.int64)
         np.cumsum(~_LETTER[data], out=letter[1:])
         triple = np.zeros(len(data) + 1, dtype=np.int64)
@@ -158,8 +183,11 @@ class Tokens:
             np.cumsum((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & _LETTER[data[2:]], out=triple[3:])
         odd = letter[last] - letter[first] > 0
         repeated = triple[last] - triple[np.minimum(first + 2, last)] > 0
-        disguised = odd | repeated | lead | trail
-        begin, end = np.where(lead, starts, first), np.where(trail, ends, last)
+        twice = np.zeros(len(data) + 1, dtype=np.int64)
+        if len(data) > 1:
+            np.cumsum((data[1:] == data[:-1]) & _LETTER[data[1:]] & (data[1:] < 128), out=twice[2:])
+        doubled = twice[last] - twice[np.minimum(first + 1, last)] > 0
+        disguised = odd | repeated | doubled | lead | trail | bare
         self.starts, self.ends, self.doc = first[~disguised], last[~disguised], doc[~disguised]
         at = np.flatnonzero(disguised)
         raw = data.tobytes()
@@ -191,13 +219,14 @@ class Tokens:
         """
         data, starts, ends, doc = self.data, self.starts, self.ends, self.doc
         if self.disguised:
-            restored = [restore(w).encode() for w in self.disguised]
+            readings = [restore(w).encode().split(b" ") for w in self.disguised]
+            restored = [x for words_of in readings for x in words_of]
             extra_ends = np.cumsum([len(r) for r in restored]) + len(data)
             extra_starts = np.append(len(data), extra_ends[:-1])
             data = np.concatenate([data, np.frombuffer(b"".join(restored), dtype=np.uint8)])
             some = extra_ends > extra_starts
             starts, ends = np.concatenate([starts, extra_starts[some]]), np.concatenate([ends, extra_ends[some]])
-            doc = np.concatenate([doc, self.disguised_doc[some]])
+            doc = np.concatenate([doc, np.repeat(self.disguised_doc, [len(x) for x in readings])[some]])
         whole = span_hashes(data, starts, ends)
         keys = [whole]
         for k in sorted(PREFIXES, reverse=True):
