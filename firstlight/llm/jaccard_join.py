@@ -14,7 +14,8 @@ lesser m of the two.
 Groups are found without listing all pairs in them. First each prefix shingle
 pairs its holders only with the holder that has it earliest; verified links
 are contracted. Then all candidate pairs that still cross components are
-generated and verified, so no link between components is missed.
+generated and verified, so no link between components is missed. ``pairs``
+lists the links of all classes instead, and ``linked_groups`` counts them.
 
 Candidates are first held against histograms of their sets, which bound what
 two sets can share; the sets themselves are only made and moved for the rest.
@@ -300,16 +301,50 @@ def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, t
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _indexed(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The classes of all rows, those with a set, and the index rows of these."""
+    keys, counts = frequent_shingles(docs, width, most)
+    found = stored(classes(docs, width, threshold, keys, counts), "jaccard-classes")
+    full = found.filter("n > 0")
+    return found, full, stored(_rows(full), "jaccard-rows")
+
+
+def _all_links(docs: DataFrame, full: DataFrame, rows: DataFrame, width: int, threshold: int) -> DataFrame:
+    """``u, v`` with u < v: all classes of different sets that link, as a stored table."""
+    x, y = rows.alias("x"), rows.alias("y")
+    both = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & _fits("x", "y", threshold))
+    return stored(_verified(_pairs(both, threshold), docs, full, width, threshold), "jaccard-links")
+
+
+def pairs(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOST_FREQUENT) -> tuple[DataFrame, DataFrame]:
+    """All links ``u, v`` between classes of different sets, and the ``doc_id, class`` of every row that has a set.
+
+    Rows of one class are linked with each other and have the links of their
+    class; the number of pairs grows with the square of a group of near copies.
+    """
+    _, full, rows = _indexed(docs, width, threshold, most)
+    return _all_links(docs, full, rows, width, threshold), full.select("doc_id", "class")
+
+
+def linked_groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOST_FREQUENT) -> DataFrame:
+    """As ``groups``, from the list of all links, with ``n_links``: how many other rows each row is linked with."""
+    found, full, rows = _indexed(docs, width, threshold, most)
+    links = _all_links(docs, full, rows, width, threshold)
+    sizes = full.groupBy("class").agg(F.count("*").alias("size"))
+    ends = links.union(links.select("v", "u")).toDF("class", "other").join(sizes.withColumnRenamed("class", "other"), "other")
+    linked = ends.groupBy("class").agg(F.sum("size").alias("linked"))
+    n_links = F.when(F.col("n_shingles") == 0, 0).otherwise(F.col("class_size") - 1 + F.coalesce("linked", F.lit(0))).cast("long")
+    rows_of = _grouped(found, full, stored(components(links), "jaccard-components"))
+    return rows_of.join(linked, "class", "left").select("doc_id", "n_shingles", "component_id", "class_size", n_links.alias("n_links"))
+
+
 def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOST_FREQUENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, class_size``.
 
     ``component_id`` is the smallest ``doc_id`` reachable by links, the
     document's own included; ``class_size`` the number of rows with its set.
     """
-    keys, counts = frequent_shingles(docs, width, most)
-    found = stored(classes(docs, width, threshold, keys, counts), "jaccard-classes")
-    full = found.filter("n > 0")
-    rows = stored(_rows(full), "jaccard-rows")
+    found, full, rows = _indexed(docs, width, threshold, most)
     first = rows.groupBy("token").agg(F.min(F.struct("at", "class", "n", "m", "met")).alias("f")).select("token", "f.*")
     star = rows.alias("x").join(first.alias("y"), F.col("x.token") == F.col("y.token")).filter("x.class <> y.class")
     links = stored(_verified(_pairs(star, threshold), docs, full, width, threshold), "jaccard-star")
@@ -326,13 +361,17 @@ def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOS
     )
     more = _verified(_pairs(crossing, threshold), docs, full, width, threshold)
     labels = stored(components(links.union(more)), "jaccard-components")
+    return _grouped(found, full, labels).drop("class")
+
 
+def _grouped(found: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_size, class`` of every row."""
     member = full.select("doc_id", "n", "class").join(labels, F.col("class") == F.col("node"), "left")
     member = member.select("doc_id", "n", "class", F.coalesce("root", "class").alias("root"))
     least = member.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     sizes = member.groupBy("class").agg(F.count("*").alias("class_size"))
-    linked = member.join(least, "root").join(sizes, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size")
-    alone = found.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
+    linked = member.join(least, "root").join(sizes, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_size", "class")
+    alone = found.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"), "class")
     return linked.union(alone)
 
 

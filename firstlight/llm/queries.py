@@ -104,7 +104,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.groups(table(spark, sf_dir, "documents"), width=4, threshold=85)
+    return jaccard_join.linked_groups(table(spark, sf_dir, "documents"), width=4, threshold=85)
 
 
 @query("op1_language_id")
