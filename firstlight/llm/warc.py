@@ -327,7 +327,10 @@ def archive_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """Pages with ``refers_to``: the largest ``page_id`` of an equal payload of at least ``least_bytes``, if another row's."""
+    """Pages with ``refers_to``: the largest ``page_id`` of an equal payload of at least ``least_bytes``, if another row's.
+
+    A link belongs to a ``page_id`` and a payload, so rows of one id with different payloads are linked apart.
+    """
 
     def run(batches):
         for b in batches:
@@ -342,9 +345,12 @@ def with_revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFra
     groups = large.groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("last")).filter("n > 1")
     links = (
         large.join(groups, "digest").filter("page_id <> last")
-        .select(F.col("page_id").alias("revisit_id"), F.col("last").alias("refers_to")).distinct()
-    )
-    return pages.join(links, F.col("page_id").cast("long") == F.col("revisit_id"), "left").drop("revisit_id")
+        .select(F.col("page_id").alias("revisit_id"), "digest", F.col("last").alias("refers_to")).distinct()
+    ).withColumnRenamed("digest", "revisit_digest")
+    # sha2 of the UTF-8 bytes, as above.
+    own = F.unhex(F.sha2(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 256))
+    same = (F.col("page_id").cast("long") == F.col("revisit_id")) & (own == F.col("revisit_digest"))
+    return pages.join(links, same, "left").drop("revisit_id", "revisit_digest")
 
 
 def round_trip(pages: DataFrame, roll_bytes: int = ROLL_BYTES) -> DataFrame:
