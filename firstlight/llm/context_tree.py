@@ -263,7 +263,7 @@ def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np
 
 
 def score(docs: DataFrame, training: DataFrame, most: int = FREQUENT) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``; scores are log10 probabilities."""
+    """One row per document: ``doc_id, n_bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``; scores are log10 probabilities."""
     spark = docs.sparkSession
     pairs, vocabulary = _counted(training, pair_keys, "tree-pairs"), _counted(training, token_hashes, "tree-words")
     n_docs = training.count()
@@ -304,14 +304,14 @@ def score(docs: DataFrame, training: DataFrame, most: int = FREQUENT) -> DataFra
                 number += b.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows), b.column("doc_id"), pa.array(n_tokens.astype(np.int64)), pa.array(known.astype(np.int64) + (n_docs > 0)),
+                        pa.array(rows), b.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64) - 1), pa.array(n_tokens.astype(np.int64)), pa.array(known.astype(np.int64) + (n_docs > 0)),
                         pa.array(told + end), pa.array(total), cold_words, cold_pairs,
                     ],
-                    ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "cold_words", "cold_pairs"],
+                    ["row", "doc_id", "n_bytes", "n_tokens", "n_known", "base_score", "score", "cold_words", "cold_pairs"],
                 )
 
     cold = "array<struct<key: long, n: long>>"
-    schema = f"row long, doc_id long, n_tokens long, n_known long, base_score double, score double, cold_words {cold}, cold_pairs {cold}"
+    schema = f"row long, doc_id long, n_bytes long, n_tokens long, n_known long, base_score double, score double, cold_words {cold}, cold_pairs {cold}"
     found = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema), "tree-scored")
     sent.destroy()
 
@@ -326,9 +326,12 @@ def score(docs: DataFrame, training: DataFrame, most: int = FREQUENT) -> DataFra
     pair_sums = other_pairs.join(told, "key").groupBy("row").agg(F.sum(F.col("log10") * F.col("n")).alias("more_score"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     joined = found.drop("cold_words", "cold_pairs").join(word_sums, "row", "left").join(pair_sums, "row", "left")
+    total = F.col("score") + zero("more_score")
     return joined.select(
-        "doc_id", "n_tokens", (F.col("n_known") + zero("more_known")).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("base_score") + zero("more_base")).alias("base_score"), (F.col("score") + zero("more_score")).alias("score"),
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_known") + zero("more_known")).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
+        (F.col("base_score") + zero("more_base")).alias("base_score"), total.alias("score"),
+        # The end of the text is coded too.
+        (-total / math.log10(2) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )
 
 
@@ -336,4 +339,4 @@ def score_held_out(docs: DataFrame, most: int = FREQUENT) -> DataFrame:
     """Learns from rows whose crc32 of the id modulo 5 is not 1 and scores all rows, with ``held_out``."""
     held = F.coalesce(crc32_of_id() % 5 == 1, F.lit(False))
     found = score(docs, docs.filter(~held), most)
-    return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
