@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstlight.llm import context_tree, decontam, exact_dedup, jaccard_join, language_id, sentencepieces, token_counts, toxicity, warc, wavelet
+from firstlight.llm import bk_tree, context_tree, decontam, exact_dedup, jaccard_join, language_id, nra, periodic
+from firstlight.llm import sentencepieces, token_counts, toxicity, warc, wavelet
 from firstlight.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,42 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_context_tree")
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_held_out(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_nra_search",
+    f"""
+    WITH words AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{nra.TERM}') AS t FROM documents),
+    items AS (
+      SELECT row_number() OVER (ORDER BY item_id, text) AS query, item_id,
+             unnest(list_distinct(regexp_extract_all({LOWERED}, '{nra.TERM}'))) AS term FROM benchmark),
+    docs AS (SELECT row_number() OVER (ORDER BY doc_id) AS doc, doc_id, t, len(t) AS n FROM words WHERE len(t) > 0),
+    totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM docs),
+    post AS (
+      SELECT doc, doc_id, n, term, count(*) AS tf FROM (SELECT doc, doc_id, n, unnest(t) AS term FROM docs)
+      WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+    weight AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM post, totals GROUP BY term, docs),
+    impact AS (
+      SELECT doc, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS s
+      FROM post JOIN weight USING (term), totals),
+    scored AS (
+      SELECT query, item_id, doc, doc_id, sum(s)::BIGINT AS score FROM items JOIN impact USING (term)
+      GROUP BY ALL HAVING sum(s) > 0)
+    SELECT item_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scored QUALIFY rank <= 10
+    """,
+)
+def op11_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_bk_tree")
+def op12_bk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bk_tree.in_hex(table(spark, sf_dir, "documents"), width=3, radius=2)
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.with_tails(table(spark, sf_dir, "documents")))

@@ -126,3 +126,31 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each text's kept words with one space between them, and where each text begins.
+
+    A word that is not its text's first has white space before it, which
+    becomes the one space.
+    """
+    kept = np.flatnonzero(keep)
+    change = np.zeros(len(data) + 1, dtype=np.int8)
+    change[starts[kept]] += 1
+    change[ends[kept]] -= 1
+    take = np.cumsum(change[:-1], dtype=np.int8).astype(bool)
+    text_of = np.searchsorted(bounds, kept, side="right")
+    later = kept[1:][text_of[1:] == text_of[:-1]]
+    take[starts[later] - 1] = True
+    out = data.copy()
+    out[starts[later] - 1] = 0x20
+    first = np.zeros(len(bounds), dtype=np.int64)
+    lengths = np.bincount(text_of - 1, weights=(ends - starts)[kept], minlength=len(bounds) - 1).astype(np.int64)
+    words_of = np.bincount(text_of - 1, minlength=len(bounds) - 1)
+    np.cumsum(lengths + np.maximum(words_of - 1, 0), out=first[1:])
+    return out[take], first
+
+
+def texts(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The byte stretches between the offsets as an Arrow column of texts."""
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))

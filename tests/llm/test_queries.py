@@ -17,7 +17,7 @@ SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 def test_all_are_registered():
     names = set(entry_point.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLE_SQL) <= set(entry_point.oracle_sql())
 
 
