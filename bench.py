@@ -23,7 +23,8 @@ from firstlight.session import build_session  # noqa: E402
 # These write files and run streams on every call.
 ONCE = {
     "first_per_day_stream", "dau_total_stream", "raw_landing_daily", "routed_topics", "compacted_day", "store_day_total",
-    "kpi_totals_first_seen",
+    "kpi_totals_first_seen", "dau_hour_incremental", "new_devices_incremental", "batch_written", "arrivals_with_expiry", "get_device_day",
+    "launches_hourly_stream", "ingest_one_pass", "merged_documents", "sale_detail_response", "sale_detail_deep_page",
 }
 
 

@@ -87,7 +87,7 @@ def route_logs(
     return probed.select("value", topic.alias("topic"))
 
 
-def _one_line(value: str) -> Column:
+def one_line(value: str) -> Column:
     """A body on one line; a line break in JSON is white space between its parts."""
     return F.regexp_replace(F.col(value), r"[\r\n]+", " ").alias("value")
 
@@ -97,7 +97,7 @@ def write_routed(routed: DataFrame, path: str) -> None:
 
     There are two topics, so a task writes two files at most.
     """
-    known = routed.filter(F.col("topic").isNotNull()).select(_one_line("value"), "topic")
+    known = routed.filter(F.col("topic").isNotNull()).select(one_line("value"), "topic")
     known.write.mode("append").partitionBy("topic").text(path)
 
 
@@ -107,4 +107,4 @@ def land_raw(logs: DataFrame, path: str, ingest_date: str = "ingest_date", value
     Logs arrive day by day, so a task has a day or two; lay out a backfill of
     mixed days by day before.
     """
-    logs.select(_one_line(value), ingest_date).write.mode("append").partitionBy(ingest_date).text(path)
+    logs.select(one_line(value), ingest_date).write.mode("append").partitionBy(ingest_date).text(path)

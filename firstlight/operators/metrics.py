@@ -71,6 +71,26 @@ def hourly_compare(launched: DataFrame, date: str) -> DataFrame:
     return hour_spine(counts, ["today_n", "yesterday_n"])
 
 
+def compare_hours(hours: DataFrame, date: str) -> DataFrame:
+    """As :func:`hourly_compare`, from hour counts ``dt, hr, n`` that are kept up to date."""
+    yesterday = previous_day(date)
+    two = hours.filter((F.col("dt") == date) | (F.col("dt") == yesterday))
+    of = lambda day: F.coalesce(F.sum(F.when(F.col("dt") == day, F.col("n"))), F.lit(0))
+    counts = two.groupBy("hr").agg(of(date).alias("today_n"), of(yesterday).alias("yesterday_n"))
+    return hour_spine(counts, ["today_n", "yesterday_n"])
+
+
+def kpi_of_sums(hours: DataFrame, new: DataFrame, date: str) -> DataFrame:
+    """As :func:`kpi_totals`, from hour counts and counts of new devices ``dt, n`` that are kept up to date.
+
+    Every device of a day stands in one hour, so the hours add up to the day.
+    """
+    none = F.lit(0).cast("long")
+    today = hours.filter(F.col("dt") == date).select(F.col("n").alias("dau"), none.alias("new_mid"))
+    first = new.filter(F.col("dt") == date).select(none.alias("dau"), F.col("n").alias("new_mid"))
+    return kpi_rows(today.unionByName(first).agg(F.sum("dau").alias("dau"), F.sum("new_mid").alias("new_mid")))
+
+
 def dau_cumulative(hours: DataFrame) -> DataFrame:
     """``dt, hr, n, total_n``: running total of each day's hour counts, on all 24 hours."""
     w = Window.partitionBy("dt").orderBy("hr").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstlight.functions.labels import DEFAULT_SALE_DATE, REGION_SPLITS, age_band, gender_name
 from firstlight.functions.predicates import bin_values
 from firstlight.functions.text import match_text
 from firstlight.operators.metrics import with_pct
+from firstlight.operators.pages import PART, read_ranged, sort_columns, write_ranged
 from firstlight.operators.search import paginate
 from firstlight.schemas import SALE_DETAIL_COLUMNS
 
@@ -39,11 +40,38 @@ def matching_lines(detail: DataFrame, users: DataFrame, skus: DataFrame, keyword
     return detail
 
 
-def write_sale_detail(df: DataFrame, path: str) -> None:
-    """Day-partitioned table, so that a search reads one day."""
-    df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "dt"
-    ).parquet(path)
+SALE_SORT = [(c, "asc") for c in SALE_DETAIL_COLUMNS]
+_DAY_FIRST = [("dt", "asc"), *[s for s in SALE_SORT if s[0] != "dt"]]
+
+
+def write_sale_detail(df: DataFrame, path: str, parts: int | None = None) -> None:
+    """Table in ranges of day and grid order: a search reads the parts of its day, a page those that it lies in.
+
+    ``parts`` is by default the session's number of shuffle partitions.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    write_ranged(df, path, _DAY_FIRST, parts)
+
+
+def read_sale_detail(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
+    """The sale columns and ``part``, of all days or of the parts of one."""
+    rows = read_ranged(spark, path, date).select(*SALE_DETAIL_COLUMNS, PART)
+    return rows if date is None else rows.filter(F.col("dt") == date)
+
+
+def search_counts(found: DataFrame) -> DataFrame:
+    """``part, age_name, gender_name, level, n``: rows by part, by age band, by gender, and all, from one aggregation.
+
+    ``level`` is the grouping id of the set that a row belongs to: a bit is
+    set for each column that the set leaves out, the first column's highest.
+    """
+    facts = found.select(PART, age_band(F.col("user_age")).alias("age_name"), gender_name(F.col("user_gender")).alias("gender_name"))
+    sets = facts.groupingSets([[PART], ["age_name"], ["gender_name"], []], PART, "age_name", "gender_name")
+    return sets.agg(F.grouping_id().alias("level"), F.count("*").alias("n"))
+
+
+# Grouping ids of :func:`search_counts`.
+BY_PART, BY_AGE, BY_GENDER, ALL = 0b011, 0b101, 0b110, 0b111
 
 
 def sale_filter(date: str | None, keyword: str = "", level: int | None = None) -> Column:
@@ -67,7 +95,20 @@ def sale_detail_search(
 
 def sale_detail_page(found: DataFrame, page: int, size: int) -> DataFrame:
     """One grid page.  Line ids need not be unique, so all columns settle the order."""
-    return paginate(found, [(c, "asc") for c in SALE_DETAIL_COLUMNS], page, size)
+    return paginate(found, SALE_SORT, page, size)
+
+
+def page_of_lines(lines: DataFrame, users: DataFrame, skus: DataFrame, page: int, size: int) -> DataFrame:
+    """The same page, cut from the order lines; users and SKUs are joined to its rows only.
+
+    A user and a SKU have one row each, so lines that agree in both keys agree
+    in the attributes too and these settle nothing.
+    """
+    text = lambda c: F.col(c).cast("string") if c.endswith("_id") else F.col(c)
+    own = [c for c in SALE_DETAIL_COLUMNS if c in lines.columns]
+    cut = lines.orderBy(*[text(c).asc_nulls_last() for c in own]).offset((page - 1) * size).limit(size)
+    # The limit drops nothing: sort and limit together are one step, which AQE keeps where it drops a lone sort.
+    return build_sale_detail(cut, users, skus).orderBy(*sort_columns(SALE_SORT)).limit(size)
 
 
 def sale_detail_total(found: DataFrame) -> DataFrame:

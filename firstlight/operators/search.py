@@ -10,13 +10,8 @@ from pyspark.sql import functions as F
 
 from firstlight.functions.predicates import bool_query
 from firstlight.functions.text import highlight
-
-Sort = Sequence[tuple[str, str]]
-
-
-def _order(sort: Sort) -> list[Column]:
-    """NULLs come last either way."""
-    return [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_last() for c, way in sort]
+from firstlight.operators.pages import Sort
+from firstlight.operators.pages import sort_columns as _order
 
 
 def search(
@@ -41,7 +36,7 @@ def search(
 
 
 def paginate(df: DataFrame, sort: Sort, page: int, size: int) -> DataFrame:
-    """Page ``page`` (from 1) of ``size`` rows."""
+    """Page ``page`` (from 1) of ``size`` rows of any frame; deep ones are for :func:`firstlight.operators.pages.ranged_page`."""
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
     return df.orderBy(*_order(sort)).offset((page - 1) * size).limit(size)

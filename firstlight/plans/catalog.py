@@ -4,22 +4,28 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from firstlight.functions import labels
+from firstlight.functions.clock import today_text
+from firstlight.functions.labels import AGE_20_TO_30, AGE_OVER_30, AGE_UNDER_20, DEFAULT_SALE_DATE, GENDER_NAMES, KPI_NAMES
 from firstlight.functions.predicates import term_in_array
 from firstlight.functions.text import match_text
 from firstlight.operators import dedup, ingest, ledger, metrics, sale
-from firstlight.operators.documents import read_documents, upsert_documents
+from firstlight.operators.documents import live_folders, merge_documents, read_documents, upsert_documents
+from firstlight.operators.pages import ranged_page, read_ranged, write_ranged
 from firstlight.operators.search import search, search_after
 from firstlight.plans import dashboard, tables
 from firstlight.session import scratch_dir
 from firstlight.sources.logs import read_file_log_stream
-from firstlight.sources.store import StorePaths, get_by_id, read_day, read_days
-from firstlight.streaming.first_seen import read_first_seen, rebuild_first_seen
-from firstlight.streaming.pipeline import process_batch, start_pipeline
+from firstlight.sources.store import StorePaths, get_by_id, get_device, read_day, read_days
+from firstlight.streaming.first_seen import merge_first_seen, read_first_seen, read_new_devices, rebuild_first_seen
+from firstlight.streaming.launches import read_hourly, start_hourly_counts
+from firstlight.streaming.pipeline import ARRIVED, process_batch, read_batches, start_pipeline
+from firstlight.streaming.sinks import ingest_batch, read_ingested
 from firstlight.streaming.state import first_per_day_stream
-from firstlight.streaming.upsert import compact, current
+from firstlight.streaming.upsert import compact, current, read_hours, upsert_by_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +112,18 @@ def parse_start_log(spark, d):
     return tables.with_area(keyed, spark, d).select(*FIRST_COLUMNS, "has_start")
 
 
+def _damaged(spark, d):
+    """Errors lose their last character, purchases their stamp, clicks their device."""
+    kind, value = F.col("event_type"), F.col("value")
+    damaged = (
+        F.when(kind == "error", F.expr("substr(value, 1, length(value) - 1)"))
+        .when(kind == "purchase", F.regexp_replace(value, '"ts":', '"at":'))
+        .when(kind == "click", F.regexp_replace(value, '"mid":', '"id":'))
+        .otherwise(value)
+    )
+    return _raw(spark, d).withColumn("value", damaged)
+
+
 @query(
     "quarantine_reasons",
     """
@@ -115,15 +133,7 @@ def parse_start_log(spark, d):
     """,
 )
 def quarantine_reasons(spark, d):
-    """Errors lose their last character, purchases their stamp, clicks their device."""
-    kind, value = F.col("event_type"), F.col("value")
-    damaged = (
-        F.when(kind == "error", F.expr("substr(value, 1, length(value) - 1)"))
-        .when(kind == "purchase", F.regexp_replace(value, '"ts":', '"at":'))
-        .when(kind == "click", F.regexp_replace(value, '"mid":', '"id":'))
-        .otherwise(value)
-    )
-    parsed = ingest.parse_logs(_raw(spark, d).withColumn("value", damaged))
+    parsed = ingest.parse_logs(_damaged(spark, d))
     bad = parsed.filter(F.col("reason").isNotNull())
     return bad.groupBy("reason", "ingest_date").agg(F.count("*").alias("n"))
 
@@ -166,6 +176,25 @@ def raw_landing_daily(spark, d):
     return landed.groupBy("ingest_date").agg(F.count("*").alias("n"))
 
 
+@query(
+    "ingest_one_pass",
+    """
+    WITH e AS (
+      SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type = 'signup' THEN 'start_log' WHEN event_type <> 'error' THEN 'event_log' END AS topic,
+             CASE event_type WHEN 'error' THEN 'bad_json' WHEN 'purchase' THEN 'no_ts' WHEN 'click' THEN 'no_mid' END AS reason
+      FROM events)
+    SELECT 'raw' AS sink, day AS part, count(*) AS n FROM e GROUP BY day
+    UNION ALL SELECT 'topics', topic, count(*) FROM e WHERE topic IS NOT NULL GROUP BY topic
+    UNION ALL SELECT 'rejected', reason, count(*) FROM e WHERE reason IS NOT NULL GROUP BY reason
+    """,
+)
+def ingest_one_pass(spark, d):
+    """Landing, topics and quarantine of the damaged logs, written by one job with one parse."""
+    root = scratch_dir(spark, "ingested")
+    ingest_batch(_damaged(spark, d), 0, root)
+    return read_ingested(spark, root).groupBy("sink", "part").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- first launches
 
 
@@ -229,9 +258,9 @@ def store_day_total(spark, d):
     "kpi_totals_first_seen",
     f"""
     WITH {LAUNCHES}, first_seen AS (SELECT mid, min(dt) AS dt FROM l GROUP BY mid)
-    SELECT 'dau' AS id, '新增日活' AS name, count(DISTINCT mid) AS value FROM l WHERE dt = {LAST_DAY}
+    SELECT 'dau' AS id, '{KPI_NAMES["dau"]}' AS name, count(DISTINCT mid) AS value FROM l WHERE dt = {LAST_DAY}
     UNION ALL
-    SELECT 'new_mid', '新增设备', count(*) FROM first_seen WHERE dt = {LAST_DAY}
+    SELECT 'new_mid', '{KPI_NAMES["new_mid"]}', count(*) FROM first_seen WHERE dt = {LAST_DAY}
     """,
 )
 def kpi_totals_first_seen(spark, d):
@@ -261,7 +290,116 @@ def dau_total_stream(spark, d):
 
     writer = arrivals.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).groupBy("dt").agg(F.count("*").alias("n"))
+    # A run over the end of a window emits a device twice.
+    return spark.read.parquet(out).groupBy("dt").agg(F.count_distinct("mid").alias("n"))
+
+
+def _records(spark, d) -> DataFrame:
+    records = ingest.with_dt_hr(tables.logs(tables.events(spark, d)))
+    return records.withColumns({"ar": F.lit(None).cast("string"), "mi": F.lit("00")}).select(*FIRST_COLUMNS)
+
+
+@query("dau_hour_incremental", f"WITH {FIRST_HOURS} SELECT dt, hr, count(*) AS n FROM f GROUP BY dt, hr")
+def dau_hour_incremental(spark, d):
+    """Three batches, evenings first, then nights, then the day: most devices change their hour twice.
+
+    Read from the increments of the batches; no record is read.
+    """
+    store, records, hr = StorePaths(scratch_dir(spark, "store")), _records(spark, d), F.col("hr")
+    for i, part in enumerate((hr >= "16", hr < "08", (hr >= "08") & (hr < "16"))):
+        upsert_by_key(records.filter(part), i, store)
+    return read_hours(spark, store)
+
+
+@query(
+    "new_devices_incremental",
+    f"WITH {LAUNCHES} SELECT dt, count(*) AS n FROM (SELECT mid, min(dt) AS dt FROM l GROUP BY mid) GROUP BY dt",
+)
+def new_devices_incremental(spark, d):
+    """Three batches, the latest days first: nearly every device is corrected to an earlier day."""
+    store, days = StorePaths(scratch_dir(spark, "store")), _records(spark, d).select("mid", "dt")
+    third = lambda k: F.ntile(3).over(Window.orderBy(F.desc("dt"))) == k
+    parts = days.select("dt").distinct().withColumn("last", third(1)).withColumn("middle", third(2))
+    named = days.join(F.broadcast(parts), "dt").withColumn("batch", F.when(F.col("last"), 0).when(F.col("middle"), 1).otherwise(2))
+    for i in range(3):
+        merge_first_seen(named.filter(F.col("batch") == i).select("mid", "dt"), i, store, buckets=8)
+    return read_new_devices(spark, store)
+
+
+@query(
+    "batch_written",
+    f"""
+    WITH {RECORDS},
+    f AS (SELECT dt, mid, CASE WHEN ch = 'signup' THEN 0 ELSE 1 END AS b, min(row(ts, ch, coalesce(vc, ''))) AS at FROM r GROUP BY ALL),
+    w AS (
+      SELECT f.b, f.dt, f.mid, s.at IS NULL AS added FROM f LEFT JOIN f s ON f.b = 1 AND s.b = 0 AND s.dt = f.dt AND s.mid = f.mid
+      WHERE s.at IS NULL OR f.at < s.at)
+    SELECT CAST(b AS BIGINT) AS batch_id, (SELECT count(*) FROM r WHERE (ch <> 'signup') = (b = 1)) AS logs, CAST(0 AS BIGINT) AS rejected,
+           count(*) AS written, count(*) FILTER (WHERE added) AS added, count(DISTINCT dt) AS days
+    FROM w GROUP BY b
+    """,
+)
+def batch_written(spark, d):
+    """What two batches counted while they wrote, launch logs and all others."""
+    store, _ = _store(spark, d)
+    return read_batches(spark, store).select("batch_id", "logs", "rejected", "written", "added", "days")
+
+
+@query(
+    "arrivals_with_expiry",
+    f"""
+    WITH {RECORDS},
+    x AS (SELECT DISTINCT dt, mid, event_id % 3 AS b FROM r),
+    b0 AS (SELECT dt, mid FROM x WHERE b = 0 AND CAST(substr(dt, 9) AS INTEGER) % 2 = 0),
+    b1 AS (SELECT dt, mid FROM x WHERE b = 1 AND (dt, mid) NOT IN (SELECT (dt, mid) FROM b0)),
+    b2 AS (SELECT dt, mid FROM x WHERE b = 2 AND (dt IN (SELECT dt FROM b0) OR (dt, mid) NOT IN (SELECT (dt, mid) FROM b1)))
+    SELECT CAST(0 AS BIGINT) AS batch_id, dt, count(*) AS n FROM b0 GROUP BY dt
+    UNION ALL SELECT 1, dt, count(*) FROM b1 GROUP BY dt
+    UNION ALL SELECT 2, dt, count(*) FROM b2 GROUP BY dt
+    """,
+)
+def arrivals_with_expiry(spark, d):
+    """Three batches, ten and then fifteen hours apart.
+
+    Days with an even number begin their set with the first batch, so it is
+    over when the last one comes and all devices count again; the other days'
+    sets began with the second batch and are still open.
+    """
+    store, raw = StorePaths(scratch_dir(spark, "store")), _raw(spark, d)
+    third = F.col("offset") % 3
+    even = F.day(F.to_date("ingest_date")) % 2 == 0
+    for i, (part, hours) in enumerate((((third == 0) & even, 0), (third == 1, 10), (third == 2, 25))):
+        arrived = F.expr(f"TIMESTAMP'2024-06-01 08:00:00' + INTERVAL {hours} HOURS")
+        logs = raw.filter(part).select("value", "topic", "partition", "offset", arrived.alias(ARRIVED))
+        process_batch(logs, i, store, keep="arrival", expire="24 hours")
+    return read_days(spark, store).groupBy("batch_id", "dt").agg(F.count("*").alias("n"))
+
+
+@query(
+    "get_device_day",
+    f"SELECT * FROM ({FIRSTS}) WHERE dt = {LAST_DAY} AND mid = (SELECT max('mid_' || user_id) FROM events WHERE strftime(ts, '%Y-%m-%d') = {LAST_DAY})",
+)
+def get_device_day(spark, d):
+    """One device of the store's last day, by its key, from the folded day."""
+    store, day = _store(spark, d)
+    compact(spark, store, day, grace=0)
+    mid = read_day(spark, store, day).agg(F.max("mid")).first()[0]
+    return _with_area(current(get_device(spark, store, day, mid)), spark, d)
+
+
+@query(
+    "launches_hourly_stream",
+    f"WITH {LAUNCHES} SELECT dt, hr, count(*) AS n FROM l GROUP BY dt, hr",
+)
+def launches_hourly_stream(spark, d):
+    """Launches per hour of a stream of three files, the latest days first, one file per trigger."""
+    landing, out, checkpoint = (scratch_dir(spark, n) for n in ("landing", "hourly", "checkpoint"))
+    logs = tables.logs(tables.events(spark, d)).select("ts", F.abs(F.hash("mid") % 3).alias("file"))
+    for k in (2, 0, 1):
+        logs.filter(F.col("file") == k).select("ts").coalesce(1).write.mode("append").parquet(landing)
+    source = spark.readStream.schema("ts long").option("maxFilesPerTrigger", 1).parquet(landing)
+    start_hourly_counts(source, out, checkpoint, trigger=None).awaitTermination()
+    return read_hourly(spark, out)
 
 
 @query(
@@ -381,9 +519,9 @@ def hourly_compare(spark, d):
 KPI_SQL = f"""
 WITH {LAUNCHES}, first_seen AS (SELECT mid, min(dt) AS dt FROM l GROUP BY mid),
 k AS (
-  SELECT 'dau' AS id, '新增日活' AS name, count(DISTINCT mid) AS value FROM l WHERE dt = '{DAY}'
+  SELECT 'dau' AS id, '{KPI_NAMES["dau"]}' AS name, count(DISTINCT mid) AS value FROM l WHERE dt = '{DAY}'
   UNION ALL
-  SELECT 'new_mid', '新增设备', count(*) FROM first_seen WHERE dt = '{DAY}'
+  SELECT 'new_mid', '{KPI_NAMES["new_mid"]}', count(*) FROM first_seen WHERE dt = '{DAY}'
 )"""
 
 
@@ -469,6 +607,21 @@ def daily_kpis(spark, d):
     return metrics.daily_kpis(_launches(spark, d)).withColumn("dt", F.col("dt").cast("string"))
 
 
+@query(
+    "kpi_tiles",
+    f"""
+    WITH {LAUNCHES}
+    SELECT dt, format('{{:,}}', count(DISTINCT mid)) AS dau, format('{{:,}}', count(*)) AS launches, dt >= CAST(current_date AS VARCHAR) AS open
+    FROM l GROUP BY dt
+    """,
+)
+def kpi_tiles(spark, d):
+    """The figures of a day as its tiles show them, and whether the day still counts."""
+    tile = lambda c: labels.thousands(F.col(c)).alias(c)
+    daily = metrics.daily_kpis(_launches(spark, d)).withColumn("dt", F.col("dt").cast("string"))
+    return daily.select("dt", tile("dau"), tile("launches"), (F.col("dt") >= today_text()).alias("open"))
+
+
 @query(
     "dau_cumulative",
     f"""
@@ -500,8 +653,8 @@ SALE_ORDER = ", ".join(f"{c} NULLS LAST" for c in sale.SALE_DETAIL_COLUMNS)
     f"WITH {SALES} SELECT * FROM s WHERE dt = '{SALE_DAY}' ORDER BY {SALE_ORDER} LIMIT 10 OFFSET 10",
 )
 def sale_detail_page(spark, d):
-    found = sale.sale_detail_search(_sales(spark, d, SALE_DAY), SALE_DAY)
-    return sale.sale_detail_page(found, page=2, size=10)
+    lines = tables.order_detail(spark, d, SALE_DAY)
+    return sale.page_of_lines(lines, tables.users(spark, d), tables.skus(spark, d), page=2, size=10)
 
 
 @query(
@@ -516,7 +669,7 @@ def sale_detail_keyword(spark, d):
     """First page of 50 over all days: any keyword token in the SKU name, one user level."""
     users, skus = tables.users(spark, d), tables.skus(spark, d)
     lines = sale.matching_lines(tables.order_detail(spark, d), users, skus, "Red ring", level=3)
-    return sale.sale_detail_page(sale.build_sale_detail(lines, users, skus), page=1, size=50)
+    return sale.page_of_lines(lines, users, skus, page=1, size=50)
 
 
 @query(
@@ -529,6 +682,53 @@ def sale_detail_total(spark, d):
     return sale.sale_detail_total(lines)
 
 
+@query(
+    "sale_detail_deep_page",
+    f"""
+    WITH {SALES} SELECT *, row_number() OVER (ORDER BY {SALE_ORDER}) AS place FROM s
+    QUALIFY place BETWEEN 29991 AND 30000
+    """,
+)
+def sale_detail_deep_page(spark, d):
+    """Page 3,000 of all lines: laid out in ranges, its parts found by running sums of their counts."""
+    path = scratch_dir(spark, "grid")
+    write_ranged(_sales(spark, d), path, sale.SALE_SORT, parts=16)
+    page = ranged_page(read_ranged(spark, path), sale.SALE_SORT, page=3000, size=10)
+    return page.select(*sale.SALE_DETAIL_COLUMNS, F.col("place").cast("long"))
+
+
+@query(
+    "sale_detail_response",
+    f"""
+    WITH {SALES},
+    q AS (SELECT 4 AS draw, * FROM s WHERE dt = '{SALE_DAY}' UNION ALL SELECT 5, * FROM s WHERE dt = '{DEFAULT_SALE_DATE}'),
+    a AS (SELECT draw, CASE WHEN user_age < 20 THEN '{AGE_UNDER_20}' WHEN user_age <= 30 THEN '{AGE_20_TO_30}' ELSE '{AGE_OVER_30}' END AS name
+          FROM q WHERE user_age IS NOT NULL),
+    g AS (SELECT draw, CASE user_gender WHEN 'M' THEN '{GENDER_NAMES["M"]}' ELSE '{GENDER_NAMES["F"]}' END AS name FROM q WHERE user_gender IS NOT NULL),
+    p AS (SELECT *, row_number() OVER (PARTITION BY draw ORDER BY {SALE_ORDER}) AS pos FROM q)
+    SELECT d.draw, 'total' AS kind, 0 AS pos, '' AS name, (SELECT count(*) FROM q WHERE q.draw = d.draw)::DOUBLE AS value
+    FROM (VALUES (4), (5)) d(draw)
+    UNION ALL SELECT draw, 'detail', CAST(pos - 6 AS INTEGER), order_detail_id || ' ' || coalesce(sku_name, ''), sku_price FROM p WHERE pos BETWEEN 6 AND 10
+    UNION ALL SELECT draw, 'age', 0, name, count(*) FROM a GROUP BY draw, name
+    UNION ALL SELECT draw, 'gender', 0, name, count(*) FROM g GROUP BY draw, name
+    """,
+)
+def sale_detail_response(spark, d):
+    """Second page of 5 of one day, and of the default day, out of the JSON bodies."""
+    path = scratch_dir(spark, "grid")
+    sale.write_sale_detail(_sales(spark, d), path)
+    response = dashboard.sale_detail_response
+    bodies = response(spark, path, 4, 2, 5, SALE_DAY).union(response(spark, path, 5, 2, 5))
+    option = "array<struct<name:string,value:double>>"
+    shape = f"draw int, data struct<total:double,detail:array<struct<order_detail_id:string,sku_name:string,sku_price:double>>,stat:array<struct<options:{option}>>>"
+    body = bodies.select(F.from_json("body", shape).alias("b")).select("b.draw", "b.data.*")
+    row = lambda kind, pos, name, value: F.struct(F.lit(kind).alias("kind"), pos.cast("int").alias("pos"), name.alias("name"), value.alias("value"))
+    lines = F.transform("detail", lambda x, i: row("detail", i, F.concat_ws(" ", x["order_detail_id"], F.coalesce(x["sku_name"], F.lit(""))), x["sku_price"]))
+    share = lambda kind, i: F.transform(F.col("stat")[i]["options"], lambda x: row(kind, F.lit(0), x["name"], x["value"]))
+    total = F.array(row("total", F.lit(0), F.lit(""), F.col("total")))
+    return body.select("draw", F.inline(F.concat(total, lines, share("age", 0), share("gender", 1))))
+
+
 def _user_groups(spark, d):
     per_order = tables.units_by_order(spark, d).join(tables.order_users(spark, d), "order_id")
     return sale.user_groups(per_order, tables.users(spark, d), weight="n")
@@ -538,7 +738,7 @@ def _user_groups(spark, d):
     "age_facet",
     f"""
     WITH {SALES},
-    g AS (SELECT CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age <= 30 THEN '20-30岁' ELSE '30岁以上' END AS name,
+    g AS (SELECT CASE WHEN user_age < 20 THEN '{AGE_UNDER_20}' WHEN user_age <= 30 THEN '{AGE_20_TO_30}' ELSE '{AGE_OVER_30}' END AS name,
                  count(*) AS value FROM s WHERE user_age IS NOT NULL GROUP BY 1)
     SELECT 'age' AS facet, name, value, value * 100.0::DOUBLE / sum(value) OVER () AS pct FROM g
     """,
@@ -551,7 +751,7 @@ def age_facet(spark, d):
     "gender_facet",
     f"""
     WITH {SALES},
-    g AS (SELECT CASE user_gender WHEN 'M' THEN '男' ELSE '女' END AS name, count(*) AS value
+    g AS (SELECT CASE user_gender WHEN 'M' THEN '{GENDER_NAMES["M"]}' ELSE '{GENDER_NAMES["F"]}' END AS name, count(*) AS value
           FROM s WHERE user_gender IS NOT NULL GROUP BY 1)
     SELECT 'gender' AS facet, name, value, value * 100.0::DOUBLE / sum(value) OVER () AS pct FROM g
     """,
@@ -668,6 +868,26 @@ def upsert_documents_query(spark, d):
     return newest.select("id", "name", F.col("doubanScore").cast("double").alias("score"), F.size("actorList").alias("entries"))
 
 
+@query(
+    "merged_documents",
+    """
+    SELECT p_partkey AS id, 'v' || list_max([v FOR v IN range(20) IF p_partkey % (v + 1) = 0]) || ' ' || p_name AS name,
+           true AS few_folders
+    FROM part
+    """,
+)
+def merged_documents(spark, d):
+    """Twenty versions, each of every (v + 1)-th part, merged by size as they come."""
+    path, docs = scratch_dir(spark, "documents"), tables.nested_documents(spark, d)
+    for v in range(20):
+        own = docs.filter(F.col("id") % (v + 1) == 0).withColumn("name", F.concat(F.lit(f"v{v} "), "name"))
+        upsert_documents(own.coalesce(1), path, v)
+        if v % 4 == 3:
+            merge_documents(spark, path, docs.schema, grace=0)
+    few = F.lit(len(live_folders(spark, path)) < 8)
+    return read_documents(spark, path, docs.schema).select("id", "name", few.alias("few_folders"))
+
+
 @query(
     "match_documents",
     """

@@ -62,7 +62,42 @@ RUNS = T.StructType(
     ]
 )
 
+# Devices by the hour of their first launch, as increments.
+HOUR_SUMS = T.StructType(
+    [T.StructField("dt", T.StringType()), T.StructField("hr", T.StringType()), T.StructField("n", T.LongType())]
+)
+DAY_SUMS = T.StructType([T.StructField("dt", T.StringType()), T.StructField("n", T.LongType())])
+
+# What each micro-batch read, rejected and wrote; ``added`` counts devices new to their day.
+BATCHES = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("logs", "rejected", "written", "added", "days", "batch_id")]
+)
+
+# Bodies as text in the sinks of the one-pass ingest.
+INGESTED = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("value", "sink", "part")] + [T.StructField("batch_id", T.LongType())]
+)
+
+# A finished micro-batch as its listener saw it; times in milliseconds.
+BATCH_TIMES = T.StructType(
+    [T.StructField("query", T.StringType()), T.StructField("started", T.TimestampType())]
+    + [T.StructField(n, T.LongType()) for n in ("batch_id", "rows", "trigger_ms", "write_ms")]
+)
+
+# Launches per hour as the windows of arrival count them.
+LAUNCH_HOURS = T.StructType(
+    [T.StructField("arrival", T.TimestampType()), T.StructField("dt", T.StringType()), T.StructField("hr", T.StringType())]
+    + [T.StructField(n, T.LongType()) for n in ("n", "batch_id")]
+)
+
+# When a day's set of seen devices began, and the batch that began it.
+EPOCHS = T.StructType(
+    [T.StructField("dt", T.StringType()), T.StructField("started", T.TimestampType()), T.StructField("epoch", T.LongType())]
+)
+SEEN = T.StructType([T.StructField("mid", T.StringType()), T.StructField("dt", T.StringType()), T.StructField("epoch", T.LongType()), T.StructField("batch_id", T.LongType())])
+
 FIRST_SEEN = T.StructType([T.StructField("mid", T.StringType()), T.StructField("dt", T.StringType())])
+DEVICE_DAYS = T.StructType([*FIRST_SEEN.fields, T.StructField("batch_id", T.LongType())])
 
 # A document with an array of objects, for the nested search.
 NESTED_DOC = T.StructType(

@@ -57,6 +57,14 @@ def test_pages(sales):
     assert pages == [["1-1", "1-2", "2-1"], ["3-1", "4-1", "4-1"], ["5-1", "6-1"], []]
 
 
+def test_pages_are_cut_before_the_joins(tables, sales):
+    lines, users, skus = tables
+    for page in (1, 2, 3, 4):
+        want = sale.sale_detail_page(sale.sale_detail_search(sales, "2024-01-01"), page, 3).collect()
+        cut = sale.page_of_lines(lines.filter("dt = '2024-01-01'"), users, skus, page, 3)
+        assert cut.collect() == want and cut.columns == sale.SALE_DETAIL_COLUMNS
+
+
 def test_shares(sales, tables):
     day = "2024-01-01"
     found = sale.sale_detail_search(sales, day)
@@ -80,18 +88,52 @@ def test_region_and_category(spark, tables):
     assert got == {"X": 8, "Y": 3, None: 1}
 
 
-def test_grid_response(sales):
-    found = sale.sale_detail_search(sales, "2024-01-01", "ring")
-    body = json.loads(dashboard.sale_detail_response(found, draw=4, page=1, size=10).first()["body"])
+@pytest.fixture(scope="module")
+def grid(spark, sales, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("grid") / "table")
+    sale.write_sale_detail(sales, path, parts=5)
+    return path
+
+
+@pytest.fixture(scope="module")
+def ask(spark, grid):
+    return lambda *a: json.loads(dashboard.sale_detail_response(spark, grid, *a).first()["body"])
+
+
+def test_grid_response(ask):
+    day = "2024-01-01"
+    body = ask(4, 1, 10, day, "ring")
     assert body["draw"] == 4 and body["data"]["total"] == 5
     assert [r["order_detail_id"] for r in body["data"]["detail"]] == ["1-1", "2-1", "3-1", "4-1", "5-1"]
     age, gender = (s["options"] for s in body["data"]["stat"])
     assert {o["name"]: o["value"] for o in age} == {"20岁以下": 1, "20-30岁": 2, "30岁以上": 1}
     assert {o["name"]: o["value"] for o in gender} == {"男": 2, "女": 2}
-    none = sale.sale_detail_search(sales, "1999-01-01")
-    empty = json.loads(dashboard.sale_detail_response(none, 1, 1, 10).first()["body"])
-    assert empty["data"]["total"] == 0 and empty["data"]["detail"] == []
-    assert len(json.loads(dashboard.sale_detail_response(found, 1, 1, 5000).first()["body"])["data"]["detail"]) == found.count()
+    empty = ask(1, 1, 10, "1999-01-01")
+    assert empty["data"] == {"total": 0, "detail": [], "stat": [{"options": []}, {"options": []}]}
+    assert len(ask(1, 1, 5000, day)["data"]["detail"]) == 8
+    assert [o["order_detail_id"] for o in ask(1, 2, 2, day, "ring", 3)["data"]["detail"]] == []
+    assert [o["order_detail_id"] for o in ask(1, 1, 1, day, "ring", 3)["data"]["detail"]] == ["3-1"]
+
+
+def test_grid_pages_of_a_day(ask, sales):
+    found = sale.sale_detail_search(sales, "2024-01-01")
+    for page in (1, 2, 3, 4):
+        want = [r["order_detail_id"] for r in sale.sale_detail_page(found, page, 3).collect()]
+        assert [r["order_detail_id"] for r in ask(1, page, 3, "2024-01-01")["data"]["detail"]] == want
+
+
+def test_grid_has_the_default_date(ask):
+    body = ask(1, 1, 10)
+    assert body["data"]["total"] == 2 and {r["dt"] for r in body["data"]["detail"]} == {"2019-03-04"}
+
+
+def test_grid_counts_in_one_aggregation(spark, grid):
+    found = sale.sale_detail_search(sale.read_sale_detail(spark, grid, "2024-01-01"), "2024-01-01")
+    plan = sale.search_counts(found)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+    assert "ReadSchema: struct<user_gender:string,user_age:int,dt:string>" in plan
+    page = dashboard.sale_detail_response(spark, grid, 1, 1, 2, "2024-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert page.count("FileScan") == 1 and "part#" in page.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_named_list(spark):
@@ -99,13 +141,14 @@ def test_named_list(spark):
     assert dashboard.named_list(df, "name", "num", wrap="data").first()["body"] == '{"data":[{"name":"a","num":1},{"name":"b","num":2}]}'
 
 
-def test_day_partitioned_table(spark, sales, tmp_path):
-    path = str(tmp_path / "sale")
-    sale.write_sale_detail(sales, path)
-    stored = spark.read.schema(sales.schema).parquet(path)
-    found = sale.sale_detail_search(stored, "2024-01-02")
-    assert "PartitionFilters: [isnotnull(dt" in found._jdf.queryExecution().executedPlan().toString()
+def test_a_day_is_read_from_its_parts(spark, sales, grid):
+    table = sale.read_sale_detail(spark, grid)
+    assert rows(table.drop("part")) == rows(sales)
+    found = sale.read_sale_detail(spark, grid, "2024-01-02")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(dt,2024-01-02)" in plan and "part#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert sorted(ids(found)) == ["7-1", "8-1"]
+    assert len(rows(found.select("part").distinct())) < table.select("part").distinct().count()
 
 
 def test_fractions_are_summed_before_they_are_cut(spark):

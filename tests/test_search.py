@@ -111,3 +111,42 @@ def test_documents_last_write_wins(spark, movies, tmp_path):
     assert rows(back.filter("id IN (1, 3)"), "id", "name") == [(1, "Operation Red River"), (3, "new")]
     upsert_documents(movies, path, 1)  # the same version again
     assert rows(read_documents(spark, path, NESTED_DOC).filter("id = 3"), "name") == [("red dawn",)]
+
+
+def test_versions_are_merged_by_size(spark, movies, tmp_path):
+    """Twenty versions: few folders, each document its newest text, and a held reader reads to its end."""
+    from firstlight.operators.documents import live_folders, merge_documents
+    from firstlight.sources import folders
+
+    path = str(tmp_path / "docs")
+    one = lambda v, *ids: documents_from_json(spark, [f'{{"id":{i},"name":"v{v}","doubanScore":1.0,"actorList":[]}}' for i in ids], NESTED_DOC)
+    held = None
+    for v in range(20):
+        upsert_documents(one(v, v % 7, 100 + v).coalesce(1), path, v)
+        if v == 9:
+            held = read_documents(spark, path, NESTED_DOC)
+            before = rows(held, "id", "name")
+        merge_documents(spark, path, NESTED_DOC, small=1 << 10)
+        assert len(live_folders(spark, path)) < 8
+    want = {v % 7: f"v{v}" for v in range(20)} | {100 + v: f"v{v}" for v in range(20)}
+    assert dict(rows(read_documents(spark, path, NESTED_DOC), "id", "name")) == want
+    assert rows(held, "id", "name") == before
+    merge_documents(spark, path, NESTED_DOC, small=1 << 10, grace=0)
+    there = sum(len(folders.numbers(spark, f"{path}/version={v}", "tier")) for v in range(20))
+    assert there == len(live_folders(spark, path))
+    assert dict(rows(read_documents(spark, path, NESTED_DOC), "id", "name")) == want
+
+
+def test_a_merge_that_died_is_made_again(spark, tmp_path):
+    from firstlight.operators.documents import live_folders, merge_documents
+    from firstlight.sources import folders
+
+    path = str(tmp_path / "docs")
+    docs = lambda v: documents_from_json(spark, [f'{{"id":1,"name":"v{v}","doubanScore":1.0,"actorList":[]}}'], NESTED_DOC)
+    for v in range(4):
+        upsert_documents(docs(v).coalesce(1), path, v)
+    docs(3).coalesce(1).write.parquet(f"{path}/version=3/tier=1")
+    folders.remove(spark, [f"{path}/version=3/tier=1/_SUCCESS"])
+    assert len(live_folders(spark, path)) == 4
+    assert merge_documents(spark, path, NESTED_DOC) == 1 and live_folders(spark, path) == [(3, 1)]
+    assert rows(read_documents(spark, path, NESTED_DOC), "name") == [("v3",)]

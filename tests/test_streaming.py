@@ -162,17 +162,17 @@ def test_compaction(spark, env):
     want = batch_result(spark, values)
     days = sorted({r[DAU_COLUMNS.index("dt")] for r in want})
     for day in days[:2]:
-        compact(spark, store, day)
+        compact(spark, store, day, grace=0)
         assert len(rows(read_day(spark, store, day).select("batch_id").distinct())) == 1
     assert stored(spark, store) == want
-    compact(spark, store, "1999-01-01")
+    compact(spark, store, "1999-01-01", grace=0)
     # Late records after compaction, then compaction again.
     more = bodies(6, 100)
     feed.add(more)
     run()
     want = batch_result(spark, values + more)
     assert stored(spark, store) == want
-    compact(spark, store, days[0])
+    compact(spark, store, days[0], grace=0)
     assert stored(spark, store) == want
 
 
@@ -190,14 +190,14 @@ def test_compaction_that_died_half_way(spark, env, monkeypatch):
         raise RuntimeError("died")
 
     with monkeypatch.context() as m:
-        m.setattr(upsert, "_remove", dies)
+        m.setattr(upsert.folders, "remove", dies)
         with pytest.raises(RuntimeError):
-            compact(spark, store, "2024-01-02")
+            compact(spark, store, "2024-01-02", grace=0)
     assert stored(spark, store) == want
     more = bodies(16, 100)
     feed.add(more)
     run()
-    compact(spark, store, "2024-01-02")
+    compact(spark, store, "2024-01-02", grace=0)
     assert len(rows(read_day(spark, store, "2024-01-02").select("batch_id").distinct())) == 1
     assert stored(spark, store) == batch_result(spark, values + more)
 
@@ -207,7 +207,7 @@ def test_folders_of_an_open_day_stay_few(spark, env):
     values = [log(f"d{i}", ms("2024-01-01 10:00") + i) for i in range(14)]
     for v in values:
         feed.add([v])
-    pipeline.start_pipeline(feed.stream(), store.root, checkpoint, trigger=None, fold_every=4).awaitTermination()
+    pipeline.start_pipeline(feed.stream(), store.root, checkpoint, trigger=None, fold_every=4, grace=0).awaitTermination()
     assert read_days(spark, store).select("batch_id").distinct().count() <= 4
     assert stored(spark, store) == batch_result(spark, values)
 
