@@ -9,7 +9,7 @@ from firstlight.functions.labels import DEFAULT_SALE_DATE, REGION_SPLITS, age_ba
 from firstlight.functions.predicates import bin_values
 from firstlight.functions.text import match_text
 from firstlight.operators.metrics import with_pct
-from firstlight.operators.pages import PART, read_ranged, sort_columns, write_ranged
+from firstlight.operators.pages import PART, read_ranged, write_ranged
 from firstlight.operators.search import paginate
 from firstlight.schemas import SALE_DETAIL_COLUMNS
 
@@ -107,8 +107,11 @@ def page_of_lines(lines: DataFrame, users: DataFrame, skus: DataFrame, page: int
     text = lambda c: F.col(c).cast("string") if c.endswith("_id") else F.col(c)
     own = [c for c in SALE_DETAIL_COLUMNS if c in lines.columns]
     cut = lines.orderBy(*[text(c).asc_nulls_last() for c in own]).offset((page - 1) * size).limit(size)
-    # The limit drops nothing: sort and limit together are one step, which AQE keeps where it drops a lone sort.
-    return build_sale_detail(cut, users, skus).orderBy(*sort_columns(SALE_SORT)).limit(size)
+    # Put in order as one sorted list: AQE has been seen to drop a sort above the joins of a limited frame.
+    nulls_last = [F.struct(F.col(c).isNull(), F.col(c)) for c in SALE_DETAIL_COLUMNS]
+    row = F.struct(F.struct(*nulls_last).alias("at"), F.struct(*SALE_DETAIL_COLUMNS).alias("row"))
+    listed = build_sale_detail(cut, users, skus).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    return listed.select(F.inline(F.transform("rows", lambda x: x["row"])))
 
 
 def sale_detail_total(found: DataFrame) -> DataFrame:
