@@ -34,7 +34,8 @@ from firstlight.llm.language_id import crc32_of_id
 from firstlight.llm.ragged import LOWER, chunks, span_hashes, sums, utf8, words
 from firstlight.llm.tables import stored
 
-DEPTH = 5
+# With the byte itself, as many as a 64-bit key holds.
+DEPTH = 7
 # Not a byte of UTF-8: the end of a text, and what stands before its beginning.
 END = 0xFF
 FREQUENT = 1 << 19
@@ -122,8 +123,8 @@ class Level:
 
 
 def _node(context: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-    """A node's key: its context above nine bits of a leading one and the bits so far."""
-    return context << np.uint64(9) | prefix
+    """A node's key: its context above eight bits of a leading one and the bits so far, seven at most."""
+    return context << np.uint64(8) | prefix
 
 
 def _level(node: np.ndarray, zero: np.ndarray, one: np.ndarray, children: np.ndarray | None) -> tuple[Level, np.ndarray]:
@@ -136,7 +137,7 @@ def _level(node: np.ndarray, zero: np.ndarray, one: np.ndarray, children: np.nda
 
 def _parents(node: np.ndarray) -> np.ndarray:
     """A node's key without the oldest byte of its context."""
-    return _node(node >> np.uint64(17), node & np.uint64(0x1FF))
+    return _node(node >> np.uint64(16), node & np.uint64(0xFF))
 
 
 def build(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH, top: int = SPLIT) -> tuple[list, tuple]:
