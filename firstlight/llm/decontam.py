@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firstlight.llm.tables import stored
+from firstlight.llm.tables import free_name, stored
 
 WINDOW = 10
 SHINGLE = 4
@@ -137,6 +137,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
-    hit = occurrences(docs, benchmark, window, shingle).select(F.col("key_id").alias("hit_id"), F.col("key_text").alias("hit_text")).distinct()
-    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("hit_text"))
+    hit_id, hit_text = free_name(docs, "hit_id"), free_name(docs, "hit_text")
+    hit = occurrences(docs, benchmark, window, shingle).select(F.col("key_id").alias(hit_id), F.col("key_text").alias(hit_text)).distinct()
+    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col(hit_id)) & (F.xxhash64(docs["text"]) == F.col(hit_text))
     return docs.join(hit, same, "left_anti")

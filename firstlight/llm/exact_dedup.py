@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from firstlight.llm.decontam import lowered
 from firstlight.llm.ragged import lower_ascii, mix
-from firstlight.llm.tables import shuffle_partitions, stored
+from firstlight.llm.tables import free_name, shuffle_partitions, stored
 
 BUCKET_KEYS = 1 << 18
 FINGERPRINT_BITS = 16
@@ -209,8 +209,10 @@ def dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
 
 def without_copies(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows of one id and equal text one stays."""
-    stays = stored(dedup(docs, bucket_keys).filter("kept").select(F.col("doc_id").alias("stay_id"), "text_sha256").distinct(), "dedup-kept")
+    stay_id, stay_sha, own_sha = (free_name(docs, n) for n in ("stay_id", "stay_sha", "own_sha"))
+    kept = dedup(docs, bucket_keys).filter("kept").select(F.col("doc_id").alias(stay_id), F.col("text_sha256").alias(stay_sha))
+    stays = stored(kept.distinct(), "dedup-kept")
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumn("_sha", F.sha2(lowered(text).cast("binary"), 256))
-    kept = own.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (F.col("_sha") == F.col("text_sha256")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    own = docs.withColumn(own_sha, F.sha2(lowered(text).cast("binary"), 256))
+    kept = own.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)) & (F.col(own_sha) == F.col(stay_sha)), "left_semi")
+    return kept.dropDuplicates(["doc_id", own_sha]).drop(own_sha)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from firstlight.llm.bloom import bloom
 from firstlight.llm.components import components
 from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
-from firstlight.llm.tables import stored
+from firstlight.llm.tables import free_name, stored
 
 MOST_FREQUENT = 1 << 22
 BINS = 64
@@ -377,6 +377,7 @@ def _grouped(found: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of their group, with all their columns."""
+    stay_id = free_name(docs, "stay_id")
     found = groups(docs, width, threshold)
-    stays = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay_id")).distinct(), "jaccard-kept")
-    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")), "left_semi")
+    stays = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(stay_id)).distinct(), "jaccard-kept")
+    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)), "left_semi")

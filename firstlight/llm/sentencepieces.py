@@ -379,9 +379,11 @@ def encode(
 ) -> DataFrame:
     """``doc_id, text, ids`` and the columns in ``keep``: the piece ids of every row, with its text.
 
-    ``checked`` adds ``lossless``: whether decoding the ids gives the text.
+    ``checked`` adds ``lossless``: whether decoding the ids gives the text. A
+    kept column with the name of one of these comes back as ``kept_<name>``.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", *(keep or []))
+    own = {"doc_id", "text", "ids", "lossless"}
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *[F.col(c).alias(f"kept_{c}" if c.lower() in own else c) for c in keep or []])
 
     def run(batches):
         for b, ids, offsets in _chunks_encoded(batches, model, dropout, seed):
