@@ -25,9 +25,8 @@ WINDOW = 10
 SHINGLE = 4
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Words of lower-cased text, and of text as it is.
+# Words of lower-cased text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 OTHER_UPPER = r"[\p{javaUpperCase}\p{javaTitleCase}&&[^A-Z]]"
 NO_ID = -(2**63)
 
@@ -70,24 +69,27 @@ def _window_shingles(found: DataFrame, shingle: int) -> DataFrame:
     return placed.select("window", "size", "k", "offset", token.alias("token"))
 
 
+def _tokenised(docs: DataFrame) -> DataFrame:
+    """``key_id, key_text, doc_id, w``, stored: the words of each document; the texts are cut up this once."""
+    return stored(_keyed(docs).select("key_id", "key_text", "doc_id", words(F.col("text")).alias("w")), "decontam-words")
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """``key_id, key_text, start, size, window``: every place where a window stands in a document."""
+    return _occurrences(_tokenised(docs), benchmark, window, shingle)
+
+
+def _occurrences(tokenised: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
     found = stored(windows(benchmark, window), "decontam-windows")
     pieces = stored(_window_shingles(found, shingle), "decontam-shingles")
     lengths = [r[0] for r in pieces.select("k").distinct().sort("k").collect()]  # at most `shingle` numbers
-    keyed = _keyed(docs)
-    placed = keyed.select("key_id", "key_text", words(F.col("text")).alias("w")).select(
-        "key_id", "key_text", "w", F.size("w").alias("n"), F.posexplode("w").alias("at", "word")
-    )
-    hits = None
-    for k in lengths:
-        tokens = pieces.filter(F.col("k") == k).select("token").distinct()
-        part = placed.filter(F.col("at") + k <= F.col("n")).select("key_id", "key_text", "n", "at", _shingle("w", F.col("at"), k).alias("token"))
-        part = part.join(tokens, "token").select("key_id", "key_text", "n", "at", F.lit(k).alias("k"), "token")
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
+    if not lengths:
         return found.select(F.lit(0).cast("long").alias("key_id"), F.lit(0).cast("long").alias("key_text"), F.lit(0).alias("start"), "size", "window")
-    hits = stored(hits, "decontam-hits")
+    placed = tokenised.select("key_id", "key_text", "w", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
+    # The shingles of all lengths at one place, in one pass.
+    here = [F.struct(F.lit(k).alias("k"), F.when(F.col("at") + k <= F.col("n"), _shingle("w", F.col("at"), k)).alias("token")) for k in lengths]
+    cut = placed.select("key_id", "key_text", "n", "at", F.inline(F.array(*here)))
+    hits = stored(cut.join(pieces.select("k", "token").distinct(), ["k", "token"]).select("key_id", "key_text", "n", "at", "k", "token"), "decontam-hits")
     counts = hits.groupBy("k", "token").agg(F.count("*").alias("n_places"))
     ordered = pieces.join(counts, ["k", "token"], "left").groupBy("window", "size").agg(
         F.min(F.struct(F.coalesce("n_places", F.lit(0)).alias("n_places"), "k", "token", "offset")).alias("rarest")
@@ -100,8 +102,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shi
         .select("key_id", "key_text", F.struct(start.alias("start"), F.col("size").cast("int").alias("size"), "window").alias("c"))
         .groupBy("key_id", "key_text").agg(F.collect_set("c").alias("candidates"))
     )
-    texts = keyed.select("key_id", "key_text", "text").join(candidates, ["key_id", "key_text"])
-    checked = texts.select("key_id", "key_text", words(F.col("text")).alias("w"), "candidates").select(
+    checked = tokenised.select("key_id", "key_text", "w").join(candidates, ["key_id", "key_text"]).select(
         "key_id", "key_text",
         F.explode(
             F.filter("candidates", lambda c: F.concat_ws(" ", F.slice(F.col("w"), c["start"] + 1, c["size"])) == c["window"])
@@ -112,7 +113,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shi
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
-    found = occurrences(docs, benchmark, window, shingle)
+    tokenised = _tokenised(docs)
+    found = _occurrences(tokenised, benchmark, window, shingle)
     key = ["key_id", "key_text"]
     hit = (
         found.select(*key, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("at"))
@@ -123,9 +125,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         found.select(*key, "window").distinct().join(owners, "window").select(*key, "item_id").distinct()
         .groupBy(*key).agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
-    rows = _keyed(docs).select(
-        "key_id", "key_text", "doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_ANY_CASE)).cast("long").alias("n_words")
-    )
+    rows = tokenised.select("key_id", "key_text", "doc_id", F.size("w").cast("long").alias("n_words"))
     joined = rows.join(hit.join(items, key, "left"), key, "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
