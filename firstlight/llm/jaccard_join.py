@@ -20,9 +20,18 @@ lists the links of all classes instead, and ``linked_groups`` counts them.
 Candidates are first held against histograms of their sets, which bound what
 two sets can share; the sets themselves are only made and moved for the rest.
 
-The frequency table holds shingles with at least 1/MOST_FREQUENT of all
-occurrences, so it has at most MOST_FREQUENT rows at any corpus size. It
-steers cost only: any order gives the same links.
+The first prefixes follow a frequency table of fixed size: shingles with at
+least 1/MOST_FREQUENT of all occurrences. What it misses is learned: the
+holders of prefix shingles are counted exactly, in one exchange. Of the classes
+with a shingle of more than FEW_HOLDERS all shingles are counted, and those with
+more than FEW_HOLDERS move behind those not known. Every class that has one of
+them in its prefix gets a new one; other prefixes stay as they are, since what
+stands behind a prefix may move further back. This goes on until the pairs of
+such shingles are no more than the index rows, so the join of the index grows
+with the corpus and not with the square of a shingle's holders. The learned
+shingles are a table like any other; a class looks up those of its own set by a
+join. All this steers cost only: any order gives the same
+links.
 
 A null text or a text without words has an empty set and is linked with
 nothing. Rows are kept one by one: repeated rows are in one class, a null
@@ -43,6 +52,7 @@ from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
 from firstlight.llm.tables import free_name, stored
 
 MOST_FREQUENT = 1 << 22
+FEW_HOLDERS = 4
 BINS = 64
 MOST_BINNED = 1 << 20
 MOST_MATCHES = 6
@@ -139,26 +149,34 @@ def least_shared(n, threshold: int):
     return (threshold * n + 99) // 100
 
 
-def prefix(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray, threshold: int) -> tuple[np.ndarray, int]:
-    """The set's first shingles in the common order, as many as its chosen m needs, and m."""
+def holders_of(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How many hold each shingle by the sorted table; 0 if it is not in it."""
+    if not len(keys):
+        return np.zeros(len(shingles), dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+    return np.where(keys[at] == shingles, counts[at], 0)
+
+
+def prefix(shingles: np.ndarray, holders: np.ndarray, threshold: int) -> tuple[np.ndarray, int, int]:
+    """The set's first shingles in the common order, as many as its chosen m needs, m, and how many of them are not known."""
     n = len(shingles)
     t = int(least_shared(n, threshold))
-    at = np.minimum(np.searchsorted(keys, shingles), max(len(keys) - 1, 0))
-    known = keys[at] == shingles if len(keys) else np.zeros(n, dtype=bool)
-    rare = shingles[~known]
-    often, holders = shingles[known], counts[at[known]] if len(keys) else np.zeros(0, dtype=np.int64)
-    order = np.lexsort((often, holders))
-    row = np.concatenate([rare, often[order]])
-    cost = np.concatenate([np.full(len(rare), RARE_HOLDERS), holders[order] - 1.0])
+    order = np.lexsort((shingles, holders))
+    known = holders[order]
+    cost = np.where(known == 0, RARE_HOLDERS, known - 1.0)
     m = np.arange(1, min(MOST_MATCHES, t) + 1)
     sizes = n - t + m
     candidates = np.cumsum(cost)[sizes - 1]
     best = int(np.argmin(ROW_COST * sizes + candidates + VERIFY_COST * n * candidates / m))
-    return row[: sizes[best]], int(m[best])
+    first = order[: sizes[best]]
+    return shingles[first], int(m[best]), int((holders[first] == 0).sum())
 
 
 def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, class, m, bins, prefix``: the hash of each row's set, its choice of m, its histogram and its prefix."""
+    """``doc_id, n, class, m, rare, bins, prefix``: the hash of each row's set, its choice of m, its histogram and its prefix.
+
+    The first ``rare`` shingles of the prefix are not in the frequency table.
+    """
     sent = docs.sparkSession.sparkContext.broadcast((keys, counts))
 
     def run(batches):
@@ -167,21 +185,22 @@ def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, count
             for b in chunks(batch):
                 sets = shingle_sets(b, width)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
-                chosen = [prefix(s, known, holders, threshold) if len(s) else (s, 0) for s in sets]
+                chosen = [prefix(s, holders_of(s, known, holders), threshold) if len(s) else (s, 0, 0) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("doc_id"), pa.array(n), pa.array(_signed(set_hashes(sets))),
-                        pa.array([m for _, m in chosen], pa.int32()), pa.array([histogram(s) for s in sets], pa.binary()), pa.array([_signed(p) for p, _ in chosen], pa.list_(pa.int64())),
+                        pa.array([m for _, m, _ in chosen], pa.int32()), pa.array([r for _, _, r in chosen], pa.int32()),
+                        pa.array([histogram(s) for s in sets], pa.binary()), pa.array([_signed(p) for p, _, _ in chosen], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "class", "m", "bins", "prefix"],
+                    ["doc_id", "n", "class", "m", "rare", "bins", "prefix"],
                 )
 
-    schema = "doc_id long, n long, class long, m int, bins binary, prefix array<long>"
+    schema = "doc_id long, n long, class long, m int, rare int, bins binary, prefix array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def _rows(found: DataFrame) -> DataFrame:
-    """Index rows ``token, at, n, class, m, met`` of shingles held by at least two classes.
+    """Index rows ``token, at, n, class, m, rare, met`` of shingles held by at least two classes.
 
     Most prefix shingles are held once; a filter of those met twice or more
     drops them before any row is made, and an exact test follows. ``met`` is
@@ -202,13 +221,13 @@ def _rows(found: DataFrame) -> DataFrame:
             at = keep - (np.cumsum(sizes) - sizes)[row]
             of = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[keep]), pa.array(at.astype(np.int32)), b.column("n").take(of), b.column("class").take(of), b.column("m").take(of)],
-                ["token", "at", "n", "class", "m"],
+                [pa.array(tokens[keep]), pa.array(at.astype(np.int32)), b.column("n").take(of), b.column("class").take(of), b.column("m").take(of), b.column("rare").take(of)],
+                ["token", "at", "n", "class", "m", "rare"],
             )
 
-    rows = found.select("n", "class", "m", "prefix").mapInArrow(run, "token long, at int, n long, class long, m int")
+    rows = found.select("n", "class", "m", "rare", "prefix").mapInArrow(run, "token long, at int, n long, class long, m int, rare int")
     rows = stored(rows.dropDuplicates(["token", "class"]), "jaccard-rows")
-    shared = rows.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("token")
+    shared = rows.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
     met = F.row_number().over(Window.partitionBy("class").orderBy("at")) - 1
     return rows.join(shared, "token").withColumn("met", met)
 
@@ -301,12 +320,99 @@ def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, t
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _entries(lists: DataFrame, wanted=None, unknown_to=None) -> DataFrame:
+    """``class, token``, a row for each shingle of ``class, tokens binary``: those that the filter ``wanted`` lets through, those not in a table."""
+    sent = lists.sparkSession.sparkContext.broadcast((wanted, unknown_to))
+
+    def run(batches):
+        wanted, table = sent.value
+        for b in batches:
+            sets = [np.frombuffer(raw.as_buffer(), dtype=np.int64) for raw in b.column("tokens")]
+            tokens = np.concatenate([*sets, np.zeros(0, dtype=np.int64)])
+            keep = wanted.contains(tokens) if wanted else np.ones(len(tokens), dtype=bool)
+            if table:
+                keep &= holders_of(tokens.view(np.uint64), *table) == 0
+            keep = np.flatnonzero(keep)
+            of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[keep]
+            yield pa.RecordBatch.from_arrays([b.column("class").take(pa.array(of, pa.int64())), pa.array(tokens[keep])], ["class", "token"])
+
+    return lists.select("class", "tokens").mapInArrow(run, "class long, token long")
+
+
+def _learned(now: DataFrame, known: DataFrame, screen) -> DataFrame:
+    """``class, shingles, holders``: what is known of each set's shingles; ``known`` is ``token, holders``."""
+    both = _entries(now, wanted=screen).join(known, "token").groupBy("class").agg(F.collect_list(F.struct("token", "holders")).alias("of"))
+    return both.select("class", F.col("of.token").alias("shingles"), F.col("of.holders").alias("holders"))
+
+
+def _screen(known: DataFrame):
+    return bloom(known.select(F.array("token").alias("keys")), known.count())
+
+
+def _renewed(now: DataFrame, learned: DataFrame, threshold: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """``class, n, m, rare, prefix`` of the sets, by the frequency table and what each has learned."""
+    sent = now.sparkSession.sparkContext.broadcast((keys, counts))
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for raw, shingles, holders in zip(b.column("tokens"), b.column("shingles"), b.column("holders")):
+                own = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                met = shingles.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                order = np.argsort(met)
+                count = holders_of(own, *sent.value) + holders_of(own, met[order], holders.values.to_numpy(zero_copy_only=False)[order])
+                out.append((len(own), *prefix(own, count, threshold)))
+            n, chosen, m, rare = zip(*out) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("class"), pa.array(n, pa.int64()), pa.array(m, pa.int32()), pa.array(rare, pa.int32()), pa.array([_signed(p) for p in chosen], pa.list_(pa.int64()))],
+                ["class", "n", "m", "rare", "prefix"],
+            )
+
+    return now.join(learned, "class").select("class", "tokens", "shingles", "holders").mapInArrow(run, "class long, n long, m int, rare int, prefix array<long>")
+
+
 def _indexed(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The classes of all rows, those with a set, and the index rows of these."""
+    """The classes of all rows, those with a set, and the index rows of these.
+
+    Only classes that share a shingle of their first prefixes can link, so the
+    later ones are made among these.
+    """
     keys, counts = frequent_shingles(docs, width, most)
     found = stored(classes(docs, width, threshold, keys, counts), "jaccard-classes")
     full = found.filter("n > 0")
-    return found, full, stored(_rows(full), "jaccard-rows")
+    rows = stored(_rows(full), "jaccard-rows")
+    state, known, sets = None, None, None
+
+    def with_sets(of: DataFrame) -> DataFrame:
+        new = of if sets is None else of.join(sets.select("class"), "class", "left_anti")
+        wanted = stored(full.join(new, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
+        if sets is not None and wanted.isEmpty():
+            return sets
+        more = stored(_sets(docs, wanted, width), "jaccard-touched-sets")
+        return more if sets is None else sets.union(more)
+
+    while True:
+        often = rows.filter("at < rare").groupBy("token").agg(F.count("*").alias("holders")).filter(F.col("holders") > FEW_HOLDERS)
+        often = stored(often, "jaccard-often")
+        n_pairs = often.agg(F.sum(F.col("holders") * (F.col("holders") - 1) / 2)).first()[0] or 0
+        if n_pairs <= rows.count():
+            return found, full, rows
+        if state is None:
+            state = full.select("class", "n", "m", "rare", "prefix").join(rows.select("class").distinct(), "class", "left_semi")
+            state = stored(state, "jaccard-state")
+        touched = stored(rows.filter("at < rare").join(often.select("token"), "token", "left_semi").select("class").distinct(), "jaccard-touched")
+        sets = with_sets(touched)
+        counted = _entries(sets.join(touched, "class", "left_semi"), unknown_to=(keys, counts)).groupBy("token").agg(F.count("*").alias("holders"))
+        counted = counted.filter(F.col("holders") > FEW_HOLDERS)
+        counted = stored(counted if known is None else counted.join(known.select("token"), "token", "left_anti"), "jaccard-learned")
+        known = counted if known is None else known.union(counted)
+        fronts = state.select("class", F.explode(F.slice("prefix", 1, F.col("rare"))).alias("token"))
+        touched = stored(fronts.join(counted.select("token"), "token", "left_semi").select("class").distinct(), "jaccard-touched")
+        sets = with_sets(touched)
+        now = sets.join(touched, "class", "left_semi")
+        renewed = stored(_renewed(now, _learned(now, known, _screen(known)), threshold, keys, counts), "jaccard-renewed")
+        state = stored(state.join(touched, "class", "left_anti").union(renewed), "jaccard-state")
+        rows = stored(_rows(state), "jaccard-rows")
 
 
 def _all_links(docs: DataFrame, full: DataFrame, rows: DataFrame, width: int, threshold: int) -> DataFrame:

@@ -29,3 +29,20 @@ def test_all_links_are_listed_and_counted(spark, rows, threshold):
     want = {tuple(sorted((hashes[i], hashes[j]))) for i in range(len(rows)) for j in range(i) if hashes[i] != hashes[j] and link(sets[i], sets[j])}
     assert sorted((r["u"], r["v"]) for r in links.collect()) == sorted(want)
     assert members.count() == sum(len(s) > 0 for s in sets)
+
+
+def passages(copies):
+    """In each copy, of words of its own, 12 texts that share one passage and differ in the rest."""
+    own = lambda c, i: " ".join(f"c{c}d{i}w{k}" for k in range(40))
+    return [(100 * c + i, own(c, i) + " " + " ".join(f"c{c}p{k}" for k in range(30)), "en") for c in range(copies) for i in range(12)]
+
+
+def test_the_index_grows_with_the_corpus(spark):
+    def joined(rows):
+        index = jaccard_join._indexed(fixtures.docs(spark, rows), 5, 80, 1)[2]
+        n_pairs = index.groupBy("token").count().selectExpr("sum(count * (count - 1) / 2)").first()[0] or 0
+        return index.count(), n_pairs
+
+    (few_rows, few), (many_rows, many) = joined(passages(2)), joined(passages(8))
+    assert many_rows <= 5 * few_rows and many <= 5 * few + many_rows
+    assert many <= 4 * many_rows

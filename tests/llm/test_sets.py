@@ -113,7 +113,7 @@ def test_prefixes_lose_no_link():
         both = len(np.intersect1d(x, y))
         if 100 * both < 80 * (len(x) + len(y) - both):
             continue
-        (p, m), (q, k) = (jaccard_join.prefix(s, keys, counts, 80) for s in (x, y))
+        (p, m, _), (q, k, _) = (jaccard_join.prefix(s, jaccard_join.holders_of(s, keys, counts), 80) for s in (x, y))
         least = min(m, k)
         cut = lambda s, pre: pre[: len(s) - jaccard_join.least_shared(len(s), 80) + least]
         assert len(np.intersect1d(cut(x, p), cut(y, q))) >= least
