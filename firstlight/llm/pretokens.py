@@ -4,13 +4,14 @@ The split is that of the file's own pre-tokenizer (contractions, letters,
 numbers, other characters, white space), computed on arrays of code points.
 The class of a code point is asked from the library once per process.
 
-Equal pre-tokens of one chunk are found by a 64-bit hash of their code points.
+Equal pre-tokens are found by a 64-bit hash of their code points.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -77,14 +78,15 @@ class Splitter:
                 start[ends[ends < n]] = True
         return np.flatnonzero(start)
 
-    def distinct(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Distinct pre-tokens, the number of each pre-token in a row, and the bounds of each text in that row."""
+    def spans(self, texts: list[str]) -> "Spans":
+        """The pre-tokens of the texts, equal ones found by their hash, which is the same in every call."""
         joined = "".join(texts)
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
         offsets = np.zeros(len(texts) + 1, dtype=np.int64)
         np.cumsum([len(t) for t in texts], out=offsets[1:])
         if not len(points):
-            return [], np.zeros(0, dtype=np.int64), np.zeros(len(texts) + 1, dtype=np.int64)
+            none = np.zeros(0, dtype=np.int64)
+            return Spans("", none, none, none.view(np.uint64), none, np.zeros(len(texts) + 1, dtype=np.int64))
         starts = self.starts(points, offsets)
         ends = np.append(starts[1:], len(points))
         if len(self._power) <= len(points):
@@ -99,7 +101,27 @@ class Splitter:
         codes, unique = pd.factorize(keys)
         seen = np.zeros(len(unique), dtype=np.int64)
         seen[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        return [joined[a:b] for a, b in zip(starts[seen].tolist(), ends[seen].tolist())], codes, np.searchsorted(starts, offsets)
+        return Spans(joined, starts[seen], ends[seen], unique, codes, np.searchsorted(starts, offsets))
+
+    def distinct(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct pre-tokens, the number of each pre-token in a row, and the bounds of each text in that row."""
+        found = self.spans(texts)
+        return found.strings(), found.codes, found.bounds
+
+
+@dataclass
+class Spans:
+    """Pre-tokens of some texts: where each distinct one stands and its hash, the number of each in a row, the bounds of each text in that row."""
+
+    joined: str
+    starts: np.ndarray
+    ends: np.ndarray
+    keys: np.ndarray
+    codes: np.ndarray
+    bounds: np.ndarray
+
+    def strings(self, which=slice(None)) -> list[str]:
+        return [self.joined[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -113,6 +135,26 @@ def load(path: str):
     return tokenizer, Splitter(tokenizer)
 
 
+@lru_cache(maxsize=2)
+def at_blanks(path: str):
+    """The file's tokenizer, but cutting texts before each blank and nowhere else; once per process."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.pre_tokenizer = Sequence([Split(" ", "merged_with_next"), ByteLevel(add_prefix_space=False, use_regex=False)])
+    return tokenizer
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> np.ndarray:
+    """How many bytes each id stands for: one character of the file for each."""
+    vocab = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
+    out = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+    out[list(vocab.values())] = [len(token) for token in vocab]
+    return out
+
+
 @lru_cache(maxsize=2)
 def merges(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Sorted pair keys, rank and merged id of each, id of each byte, and the vocabulary's size."""

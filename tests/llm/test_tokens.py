@@ -68,6 +68,19 @@ def test_wavelet_round_trip(spark, library):
     assert wavelet.round_trip(fixtures.docs(spark, []), BPE).count() == 0
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(MIXED | st.just("a<|endoftext|> b"), min_size=1, max_size=4), min_size=1, max_size=6), st.sampled_from([0, 5, 1 << 20]))
+def test_remembered_pretokens_have_the_librarys_ids(calls, most):
+    library, encoder = pretokens.load(BPE)[0], wavelet.Encoder(BPE)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(wavelet, "MEMO_ENTRIES", most)
+        patch.setattr(wavelet, "JOINED_WORDS", 3)
+        for texts in calls + calls:
+            ids, n = encoder(texts)
+            want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+            assert n.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("top", [1, 2, 300, 70_000])
 def test_wavelet_queries(top, monkeypatch):
     monkeypatch.setattr(wavelet, "BLOCK_BITS", 64)
