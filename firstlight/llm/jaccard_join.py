@@ -17,8 +17,10 @@ are contracted. Then all candidate pairs that still cross components are
 generated and verified, so no link between components is missed. ``pairs``
 lists the links of all classes instead, and ``linked_groups`` counts them.
 
-Candidates are first held against histograms of their sets, which bound what
-two sets can share; the sets themselves are only made and moved for the rest.
+Index rows of two classes only meet when parity bits of their sets, which
+bound in how many shingles two sets differ, leave room for a link. Candidates
+are then held against histograms of their sets, which bound what two sets can
+share; the sets themselves are only made and moved for the rest.
 
 The first prefixes follow a frequency table of fixed size: shingles with at
 least 1/MOST_FREQUENT of all occurrences. What it misses is learned: the
@@ -55,6 +57,8 @@ MOST_FREQUENT = 1 << 22
 FEW_HOLDERS = 4
 BINS = 64
 MOST_BINNED = 1 << 20
+PARITY_BITS = 512
+PARITY = [f"parity_{i}" for i in range(PARITY_BITS // 64)]
 MOST_MATCHES = 6
 # Cost model of the choice of m: an index row, a candidate's verification per shingle,
 # and the chance holders of a shingle that is not known to be frequent.
@@ -103,6 +107,15 @@ def histogram(shingles: np.ndarray) -> bytes:
     return np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.uint16).tobytes()
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Of each of PARITY_BITS parts of the hash range, whether it holds an odd number of the shingles; 64-bit words.
+
+    Two sets that differ in d shingles differ in d of these bits at most.
+    """
+    counts = np.bincount((shingles // np.uint64(BINS) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(bool)).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -173,7 +186,7 @@ def prefix(shingles: np.ndarray, holders: np.ndarray, threshold: int) -> tuple[n
 
 
 def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """``doc_id, n, class, m, rare, bins, prefix``: the hash of each row's set, its choice of m, its histogram and its prefix.
+    """``doc_id, n, class, m, rare, bins, prefix`` and ``PARITY``: the hash of each row's set, its choice of m, its histogram, prefix and parity bits.
 
     The first ``rare`` shingles of the prefix are not in the frequency table.
     """
@@ -191,11 +204,12 @@ def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, count
                         b.column("doc_id"), pa.array(n), pa.array(_signed(set_hashes(sets))),
                         pa.array([m for _, m, _ in chosen], pa.int32()), pa.array([r for _, _, r in chosen], pa.int32()),
                         pa.array([histogram(s) for s in sets], pa.binary()), pa.array([_signed(p) for p, _, _ in chosen], pa.list_(pa.int64())),
+                        *map(pa.array, np.array([parity(s) for s in sets]).T),
                     ],
-                    ["doc_id", "n", "class", "m", "rare", "bins", "prefix"],
+                    ["doc_id", "n", "class", "m", "rare", "bins", "prefix", *PARITY],
                 )
 
-    schema = "doc_id long, n long, class long, m int, rare int, bins binary, prefix array<long>"
+    schema = ", ".join(["doc_id long, n long, class long, m int, rare int, bins binary, prefix array<long>", *(f"{p} long" for p in PARITY)])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -241,6 +255,19 @@ def _fits(x: str, y: str, threshold: int):
     return sizes & (can >= need)
 
 
+def _near(x: str, y: str, threshold: int):
+    """The pair's parity bits leave room for a link: sets that share i of n shingles together differ in n - 2 i."""
+    n = F.col(f"{x}.n") + F.col(f"{y}.n")
+    differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))).cast("long") for p in PARITY), F.lit(0).cast("long"))
+    return (n - differ) * (100 + threshold) >= n * (2 * threshold)
+
+
+def _with_parity(rows: DataFrame, found: DataFrame) -> DataFrame:
+    met = rows.select("class").distinct()
+    bits = found.select("class", *PARITY).join(met, "class", "left_semi").dropDuplicates(["class"])
+    return rows.join(bits, "class")
+
+
 def _pairs(joined: DataFrame, threshold: int) -> DataFrame:
     """Pairs that share the lesser m of the two inside both their prefixes for it."""
     m = F.least("x.m", "y.m")
@@ -417,8 +444,9 @@ def _indexed(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[Da
 
 def _all_links(docs: DataFrame, full: DataFrame, rows: DataFrame, width: int, threshold: int) -> DataFrame:
     """``u, v`` with u < v: all classes of different sets that link, as a stored table."""
-    x, y = rows.alias("x"), rows.alias("y")
-    both = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & _fits("x", "y", threshold))
+    rows = stored(_with_parity(rows, full), "jaccard-open")
+    near = _fits("x", "y", threshold) & _near("x", "y", threshold)
+    both = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & near)
     return stored(_verified(_pairs(both, threshold), docs, full, width, threshold), "jaccard-links")
 
 
@@ -459,11 +487,11 @@ def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOS
     labelled = rows.join(labels, rows["class"] == labels["node"], "left").select(rows["*"], F.coalesce("root", "class").alias("root"))
     labelled = stored(labelled, "jaccard-labelled")
     open_tokens = labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
-    still = labelled.join(open_tokens, "token", "left_semi")
+    still = stored(_with_parity(labelled.join(open_tokens, "token", "left_semi"), full), "jaccard-open")
     crossing = still.alias("x").join(
         still.alias("y"),
         (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root"))
-        & _fits("x", "y", threshold),
+        & _fits("x", "y", threshold) & _near("x", "y", threshold),
     )
     more = _verified(_pairs(crossing, threshold), docs, full, width, threshold)
     labels = stored(components(links.union(more)), "jaccard-components")

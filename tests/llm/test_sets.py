@@ -8,6 +8,7 @@ from collections import defaultdict
 import fixtures
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firstlight.llm import decontam, exact_dedup, jaccard_join
@@ -119,6 +120,28 @@ def test_prefixes_lose_no_link():
         assert len(np.intersect1d(cut(x, p), cut(y, q))) >= least
 
 
+def test_parity_bits_never_exceed_the_difference(spark):
+    rng = np.random.default_rng(8)
+    sets, rows = [], []
+    for i in range(60):
+        base = sets[-1] if i % 3 else np.unique(rng.integers(0, 2**63, rng.integers(0, 400)).astype(np.uint64))
+        fresh = rng.integers(0, 2**63, rng.integers(1, 30)).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([base[rng.random(len(base)) < 0.95], fresh])))
+        rows.append((i, len(sets[-1]), *jaccard_join.parity(sets[-1]).tolist()))
+    table = spark.createDataFrame(rows, ", ".join(["class long, n long", *(f"{p} long" for p in jaccard_join.PARITY)]))
+    both = table.alias("x").join(table.alias("y"), F.col("x.class") < F.col("y.class"))
+    for threshold in (50, 85, 100):
+        near = {tuple(r) for r in both.filter(jaccard_join._near("x", "y", threshold)).select("x.class", "y.class").collect()}
+        linked = set()
+        for i, a in enumerate(sets):
+            for j in range(i + 1, len(sets)):
+                shared = len(np.intersect1d(a, sets[j]))
+                if 100 * shared >= threshold * (len(a) + len(sets[j]) - shared):
+                    linked.add((i, j))
+        assert linked <= near and len(near) < 60 * 59 / 2
+        assert linked or threshold == 100
+
+
 def test_bloom_never_loses_a_key(spark):
     rows = spark.range(5000).selectExpr("array(xxhash64(id), xxhash64(id % 50)) AS keys")
     f = bloom(rows, 10_000, least=2)
