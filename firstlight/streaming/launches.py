@@ -50,7 +50,8 @@ def start_hourly_counts(
     """Keep the counts in ``path``, one folder per batch; every ``fold_every`` batches they become one folder."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # One file after an exchange: coalescing would run the state of all partitions in one task.
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if (batch_id + 1) % fold_every == 0:
             fold_hourly(batch.sparkSession, path, batch_id, grace)
 

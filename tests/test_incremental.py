@@ -1,5 +1,6 @@
 """Figures that batches keep up to date: hours, first days, expiring sets, counts of batches, hourly launches."""
 
+import os
 import random
 import time
 from datetime import datetime, timedelta
@@ -377,3 +378,15 @@ def test_hourly_launches_in_any_order(spark, tmp_path):
     spark.createDataFrame([(t,) for t in stamps[-5:]], "ts long").coalesce(1).write.mode("append").parquet(feed)
     run()
     assert got() == [(str(d), h, n) for d, h, n in want()]
+
+
+def test_hourly_state_stays_in_its_partitions(spark, tmp_path):
+    """One file a batch, but a task for each partition of the state."""
+    feed, out, cp = (str(tmp_path / n) for n in ("in", "out", "c"))
+    spark.range(100).selectExpr("id * 3600000 ts").coalesce(1).write.parquet(feed)
+    query = launches.start_hourly_counts(spark.readStream.schema("ts long").parquet(feed), out, cp, trigger=None)
+    query.awaitTermination()
+    jobs = spark.sparkContext.statusTracker()
+    stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup(str(query.runId)) for s in jobs.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) == 4
+    assert len([f for f in os.listdir(f"{out}/batch_id=0") if f.endswith(".parquet")]) == 1
