@@ -30,6 +30,8 @@ Without toxic labels or without any evidence at all every score is 0.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -213,7 +215,12 @@ class Tokens:
         return np.bincount(((a * size + b) * size + c)[keep], minlength=size**3).reshape(size, size, size)
 
     def features(self, restore) -> tuple[np.ndarray, np.ndarray]:
-        """Feature hashes of each word, from the whole word to its shortest beginning, and the word's document.
+        """Feature hashes of each word, from the whole word to its shortest beginning, and the word's document."""
+        keys, at, doc = self.distinct_features(restore)
+        return keys[at], doc
+
+    def distinct_features(self, restore) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature hashes of each different word, which of them each word is, and the word's document.
 
         A word too short for a beginning has its whole hash there.
         """
@@ -227,18 +234,19 @@ class Tokens:
             some = extra_ends > extra_starts
             starts, ends = np.concatenate([starts, extra_starts[some]]), np.concatenate([ends, extra_ends[some]])
             doc = np.concatenate([doc, np.repeat(self.disguised_doc, [len(x) for x in readings])[some]])
-        whole = span_hashes(data, starts, ends)
+        whole, first, at = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        starts, ends = starts[first], ends[first]
         keys = [whole]
         for k in sorted(PREFIXES, reverse=True):
             begun = mix(span_hashes(data, starts, np.minimum(starts + k, ends)) + np.uint64(k))
             keys.append(np.where(ends - starts >= k, begun, whole))
-        return np.stack(keys, axis=1), doc
+        return np.stack(keys, axis=1), at, doc
 
 
 class Restorer:
     """Remembers readings of words, up to a bound."""
 
-    def __init__(self, model: CharModel, entries: int = 1 << 17):
+    def __init__(self, model: CharModel, entries: int = 1 << 18):
         self.model, self.entries, self.memo = model, entries, {}
 
     def __call__(self, word: str) -> str:
@@ -250,6 +258,18 @@ class Restorer:
         return found
 
 
+_KNOWN: dict[bytes, Restorer] = {}
+
+
+def restorer(chars: np.ndarray) -> Restorer:
+    """The process's restorer of these trigram counts: what one task read, the next ones know."""
+    key = hashlib.sha256(chars.tobytes()).digest()
+    if key not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[key] = Restorer(CharModel(chars))
+    return _KNOWN[key]
+
+
 def _find(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Place of each asked key among the sorted keys, -1 where it is missing."""
     if not len(keys):
@@ -273,11 +293,11 @@ class Model:
 
     def strongest(self, column: pa.Array, restore) -> np.ndarray:
         """Log odds of each text's most toxic word; ``-BOUND`` without evidence."""
-        keys, owner = Tokens(column).features(restore)
+        keys, at, owner = Tokens(column).distinct_features(restore)
         share = self.of_words(keys)
         odds = np.clip(np.log(np.maximum(share, 1e-300)) - np.log(np.maximum(1 - share, 1e-15)), -BOUND, BOUND)
         best = np.full(len(column), -BOUND)
-        np.maximum.at(best, owner, odds)
+        np.maximum.at(best, owner, odds[at])
         return best
 
     def calibrate(self, odds: np.ndarray, label: np.ndarray, n: np.ndarray) -> None:
@@ -368,7 +388,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
         return _once(keys.ravel(), np.repeat(owner, keys.shape[1]))
 
     def toxic_features(batches):
-        restore, held = Restorer(CharModel(chars)), [np.zeros(0, dtype=np.uint64)]
+        restore, held = restorer(chars), [np.zeros(0, dtype=np.uint64)]
         docs_seen = 0
         for b in labelled(batches):
             b = b.filter(pa.array(b.column("label").to_numpy() == 1))
@@ -389,7 +409,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     asked = spark.sparkContext.broadcast(keys)
 
     def clean_counts(batches):
-        restore, known = Restorer(CharModel(chars)), asked.value
+        restore, known = restorer(chars), asked.value
         total = np.zeros(len(known) + 2, dtype=np.int64)
         for b in labelled(batches):
             total[-1] += int((b.column("label").to_numpy() == 1).sum())
@@ -421,7 +441,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     under = spark.sparkContext.broadcast(strong)
 
     def below(batches):
-        restore = Restorer(CharModel(chars))
+        restore = restorer(chars)
         held = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
         for b in labelled(batches):
             words_of, owner = Tokens(b.column("text")).features(restore)
@@ -448,7 +468,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     raw = spark.sparkContext.broadcast(model)
 
     def strongest(batches):
-        restore = Restorer(CharModel(chars))
+        restore = restorer(chars)
         for b in labelled(batches):
             odds = np.round(raw.value.strongest(b.column("text"), restore) * 8) / 8
             yield pa.RecordBatch.from_arrays([pa.array(odds), b.column("label")], ["odds", "label"])
@@ -472,7 +492,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         m = sent.value
-        restore = Restorer(CharModel(m.chars))
+        restore = restorer(m.chars)
         for batch in batches:
             for b in chunks(batch, rows=CHUNK_ROWS):
                 best = m.probability(m.strongest(b.column("text"), restore)) if len(m.keys) else np.zeros(b.num_rows)
@@ -489,7 +509,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         m = sent.value
-        restore = Restorer(CharModel(m.chars))
+        restore = restorer(m.chars)
         for batch in batches:
             for b in chunks(batch, rows=CHUNK_ROWS):
                 keep = m.probability(m.strongest(b.column("text"), restore)) < 0.5 if len(m.keys) else np.ones(b.num_rows, dtype=bool)
