@@ -390,3 +390,21 @@ def test_hourly_state_stays_in_its_partitions(spark, tmp_path):
     stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup(str(query.runId)) for s in jobs.getJobInfo(j).stageIds]
     assert max(s.numTasks for s in stages if s) == 4
     assert len([f for f in os.listdir(f"{out}/batch_id=0") if f.endswith(".parquet")]) == 1
+
+
+def test_daily_stream_has_two_triggers(spark, tmp_path, monkeypatch):
+    """However many files the events are in."""
+    from firstlight.plans import catalog
+
+    for i in range(5):
+        spark.range(20).selectExpr(
+            f"id + {20 * i} event_id", "timestamp_seconds(1704067200 + id * 36000) ts", "id % 7 user_id", "'view' event_type", "1.0D value", "'{}' props"
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    kept = []
+    scratch = catalog.scratch_dir
+    monkeypatch.setattr(catalog, "scratch_dir", lambda s, name: kept.append(scratch(s, name)) or kept[-1])
+    got = catalog.dau_total_stream(spark, str(tmp_path))
+    assert sum(r["n"] for r in got.collect()) == 20
+    arrivals = next(p for p in kept if "/arrivals-" in p).removeprefix("file:")
+    # The watermark's own batch may follow each.
+    assert 2 <= len([n for n in os.listdir(arrivals) if n.startswith("batch_id=")]) <= 4
