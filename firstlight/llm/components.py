@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firstlight.llm.tables import stored
+from firstlight.llm.tables import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before, state = None, _state(now)
     while before != state:
-        now = stored(_small_star(_large_star(now)), "components")
+        last, now = now, stored(_small_star(_large_star(now)), "components")
+        discard(last)
         before, state = state, _state(now)
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("root", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

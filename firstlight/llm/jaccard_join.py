@@ -25,13 +25,14 @@ share; the sets themselves are only made and moved for the rest.
 The first prefixes follow a frequency table of fixed size: shingles with at
 least 1/MOST_FREQUENT of all occurrences. What it misses is learned: the
 holders of prefix shingles are counted exactly, in one exchange. Of the classes
-with a shingle of more than FEW_HOLDERS all shingles are counted, and those with
-more than FEW_HOLDERS move behind those not known. Every class that has one of
+with a shingle of more than FEW_HOLDERS all shingles are counted, from the texts,
+and those with more than FEW_HOLDERS move behind those not known. Every class that has one of
 them in its prefix gets a new one; other prefixes stay as they are, since what
 stands behind a prefix may move further back. This goes on until the pairs of
 such shingles are no more than the index rows, so the join of the index grows
-with the corpus and not with the square of a shingle's holders. The learned
-shingles are a table like any other; a class looks up those of its own set by a
+with the corpus and not with the square of a shingle's holders. Tasks hold the
+MOST_LEARNED commonest learned shingles, so that no set is moved for these; with
+more, the rest are a table, and a class looks up those of its own set by a
 join. All this steers cost only: any order gives the same
 links.
 
@@ -45,20 +46,24 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firstlight.llm.bloom import bloom
 from firstlight.llm.components import components
 from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
-from firstlight.llm.tables import free_name, stored
+from firstlight.llm.tables import discard, free_name, stored
 
 MOST_FREQUENT = 1 << 22
+# Learned shingles that tasks hold beside these.
+MOST_LEARNED = 1 << 21
 FEW_HOLDERS = 4
 BINS = 64
 MOST_BINNED = 1 << 20
 PARITY_BITS = 512
 PARITY = [f"parity_{i}" for i in range(PARITY_BITS // 64)]
+PREFIX = "class long, n long, m int, rare int, prefix array<long>"
 MOST_MATCHES = 6
 # Cost model of the choice of m: an index row, a candidate's verification per shingle,
 # and the chance holders of a shingle that is not known to be frequent.
@@ -153,6 +158,7 @@ def frequent_shingles(docs: DataFrame, width: int, most: int = MOST_FREQUENT) ->
     least = max(2, -(-total // most))
     found = met.filter(F.col("token").isNotNull() & (F.col("n") >= least)).select("token", "n").toPandas()  # at most `most` rows
     keys, n = found["token"].to_numpy(dtype=np.int64).view(np.uint64), found["n"].to_numpy(dtype=np.int64)
+    discard(met)
     order = np.argsort(keys)
     return keys[order], n[order]
 
@@ -214,7 +220,7 @@ def classes(docs: DataFrame, width: int, threshold: int, keys: np.ndarray, count
 
 
 def _rows(found: DataFrame) -> DataFrame:
-    """Index rows ``token, at, n, class, m, rare, met`` of shingles held by at least two classes.
+    """Index rows ``token, at, n, class, m, rare, met``, stored, of shingles held by at least two classes.
 
     Most prefix shingles are held once; a filter of those met twice or more
     drops them before any row is made, and an exact test follows. ``met`` is
@@ -241,9 +247,12 @@ def _rows(found: DataFrame) -> DataFrame:
 
     rows = found.select("n", "class", "m", "rare", "prefix").mapInArrow(run, "token long, at int, n long, class long, m int, rare int")
     rows = stored(rows.dropDuplicates(["token", "class"]), "jaccard-rows")
+    sent.destroy()
     shared = rows.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
     met = F.row_number().over(Window.partitionBy("class").orderBy("at")) - 1
-    return rows.join(shared, "token").withColumn("met", met)
+    found = stored(rows.join(shared, "token").drop("holders").withColumn("met", met), "jaccard-met")
+    discard(rows)
+    return found
 
 
 def _fits(x: str, y: str, threshold: int):
@@ -324,11 +333,15 @@ def _possible(pairs: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
-    """The pairs whose sets link; only sets of classes in a pair are made and moved."""
-    pairs = stored(_possible(stored(pairs, "jaccard-candidates"), found, threshold), "jaccard-pairs")
+    """The pairs whose sets link, stored; only sets of classes in a pair are made and moved."""
+    candidates = stored(pairs, "jaccard-candidates")
+    pairs = stored(_possible(candidates, found, threshold), "jaccard-pairs")
+    discard(candidates)
     met = pairs.select(F.col("u").alias("class")).union(pairs.select("v")).distinct()
     wanted = found.join(met, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sets = stored(_sets(docs, stored(wanted, "jaccard-wanted"), width), "jaccard-sets")
+    wanted = stored(wanted, "jaccard-wanted")
+    sets = stored(_sets(docs, wanted, width), "jaccard-sets")
+    discard(wanted)
 
     def run(batches):
         for b in batches:
@@ -344,58 +357,158 @@ def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, t
 
     a = sets.select(F.col("class").alias("u"), F.col("tokens").alias("a"))
     b = sets.select(F.col("class").alias("v"), F.col("tokens").alias("b"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+    links = stored(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long"), "jaccard-links")
+    discard(pairs, sets)
+    return links
 
 
-def _entries(lists: DataFrame, wanted=None, unknown_to=None) -> DataFrame:
-    """``class, token``, a row for each shingle of ``class, tokens binary``: those that the filter ``wanted`` lets through, those not in a table."""
-    sent = lists.sparkSession.sparkContext.broadcast((wanted, unknown_to))
+def _chosen(full: DataFrame, wanted: DataFrame):
+    """A filter of one row of each wanted class, for ``_own``: its least ``doc_id``."""
+    least = full.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    keys = stored(least.select(F.array(F.col("class").bitwiseXOR(F.coalesce("doc_id", F.lit(0).cast("long")))).alias("keys")), "jaccard-chosen")
+    found = bloom(keys, keys.count())
+    discard(keys)
+    return found
+
+
+def _own(batch: pa.RecordBatch, width: int, chosen) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sets and classes of the batch's chosen rows; now and then of another one, or of two of a class."""
+    sets = shingle_sets(batch, width)
+    own = _signed(set_hashes(sets))
+    ids = pc.fill_null(batch.column("doc_id"), 0).to_numpy()
+    at = np.flatnonzero(chosen.contains(own ^ ids) & np.array([len(s) > 0 for s in sets], dtype=bool))
+    return [sets[i] for i in at.tolist()], own[at]
+
+
+def _counted(docs: DataFrame, width: int, chosen, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """``token, holders``: shingles of the chosen rows that are not in the table and have more than FEW_HOLDERS; counted in each task first."""
+    sent = docs.sparkSession.sparkContext.broadcast((chosen, keys, counts))
 
     def run(batches):
-        wanted, table = sent.value
+        chosen, *table = sent.value
+        held, size = [], 0
+
+        def flush():
+            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            new = holders_of(tokens, *table) == 0
+            return pa.RecordBatch.from_arrays([pa.array(_signed(tokens[new])), pa.array(n[new].astype(np.int64))], ["token", "n"])
+
+        for batch in batches:
+            for b in chunks(batch):
+                sets = _own(b, width, chosen)[0]
+                held += sets
+                size += sum(map(len, sets))
+                if size > 1 << 22:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    met = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "token long, n long")
+    return met.groupBy("token").agg(F.sum("n").alias("holders")).filter(F.col("holders") > FEW_HOLDERS)
+
+
+def _commonest(counted: DataFrame, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``token, holders`` those with the most holders, sorted by token: a least number such that at most ``room`` have it."""
+    step = F.floor(F.log2("holders") * 16)
+    least, total = None, 0
+    for s, n in sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True):  # 16 for each doubling of the largest number
+        total += n
+        if total > room:
+            break
+        least = s
+    if least is None:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    found = counted.filter(step >= F.lit(float(least))).select("token", "holders").toArrow()  # at most `room` rows
+    tokens, holders = found["token"].to_numpy().view(np.uint64), found["holders"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], holders[order]
+
+
+def _holding(state: DataFrame, keys: np.ndarray) -> DataFrame:
+    """``class`` of those with one of the keys in their prefix, from the table that tasks hold."""
+    sent = state.sparkSession.sparkContext.broadcast(keys.view(np.int64))
+
+    def run(batches):
+        known = np.sort(sent.value)
         for b in batches:
-            sets = [np.frombuffer(raw.as_buffer(), dtype=np.int64) for raw in b.column("tokens")]
-            tokens = np.concatenate([*sets, np.zeros(0, dtype=np.int64)])
-            keep = wanted.contains(tokens) if wanted else np.ones(len(tokens), dtype=bool)
-            if table:
-                keep &= holders_of(tokens.view(np.uint64), *table) == 0
-            keep = np.flatnonzero(keep)
-            of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[keep]
-            yield pa.RecordBatch.from_arrays([b.column("class").take(pa.array(of, pa.int64())), pa.array(tokens[keep])], ["class", "token"])
+            lists = b.column("prefix")
+            tokens, sizes = lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
+            hit = known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
+            at = np.unique(np.repeat(np.arange(b.num_rows), sizes)[hit])
+            yield pa.RecordBatch.from_arrays([b.column("class").take(pa.array(at, pa.int64()))], ["class"])
 
-    return lists.select("class", "tokens").mapInArrow(run, "class long, token long")
+    return state.select("class", "prefix").mapInArrow(run, "class long").distinct()
 
 
-def _learned(now: DataFrame, known: DataFrame, screen) -> DataFrame:
-    """``class, shingles, holders``: what is known of each set's shingles; ``known`` is ``token, holders``."""
-    both = _entries(now, wanted=screen).join(known, "token").groupBy("class").agg(F.collect_list(F.struct("token", "holders")).alias("of"))
-    return both.select("class", F.col("of.token").alias("shingles"), F.col("of.holders").alias("holders"))
+def _again(docs: DataFrame, width: int, threshold: int, chosen, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """``class, n, m, rare, prefix`` of the chosen rows by the table that tasks hold; no set is moved."""
+    sent = docs.sparkSession.sparkContext.broadcast((chosen, keys, counts))
+
+    def run(batches):
+        chosen, *table = sent.value
+        for batch in batches:
+            for b in chunks(batch):
+                sets, own = _own(b, width, chosen)
+                yield _prefixes(own, sets, [prefix(s, holders_of(s, *table), threshold) for s in sets])
 
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PREFIX).dropDuplicates(["class"])
 
-def _screen(known: DataFrame):
-    return bloom(known.select(F.array("token").alias("keys")), known.count())
+
+def _prefixes(own, sets: list[np.ndarray], chosen: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(own, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([m for _, m, _ in chosen], pa.int32()),
+            pa.array([r for _, _, r in chosen], pa.int32()), pa.array([_signed(p) for p, _, _ in chosen], pa.list_(pa.int64())),
+        ],
+        ["class", "n", "m", "rare", "prefix"],
+    )
 
 
-def _renewed(now: DataFrame, learned: DataFrame, threshold: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """``class, n, m, rare, prefix`` of the sets, by the frequency table and what each has learned."""
-    sent = now.sparkSession.sparkContext.broadcast((keys, counts))
+def _learned(docs: DataFrame, width: int, chosen, known: DataFrame) -> DataFrame:
+    """``class, shingles, holders``: what is known of each chosen row's shingles; ``known`` is ``token, holders``."""
+    sent = docs.sparkSession.sparkContext.broadcast((chosen, bloom(known.select(F.array("token").alias("keys")), known.count())))
 
     def run(batches):
+        chosen, screen = sent.value
+        for batch in batches:
+            for b in chunks(batch):
+                sets, own = _own(b, width, chosen)
+                tokens = _signed(np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]))
+                keep = np.flatnonzero(screen.contains(tokens))
+                of = np.repeat(own, [len(s) for s in sets])[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(tokens[keep])], ["class", "token"])
+
+    met = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "class long, token long")
+    both = met.join(known, "token").groupBy("class").agg(F.collect_set(F.struct("token", "holders")).alias("of"))
+    return both.select("class", F.col("of.token").alias("shingles"), F.col("of.holders").alias("holders"))
+
+
+def _renewed(docs: DataFrame, width: int, threshold: int, chosen, learned: DataFrame, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """``class, n, m, rare, prefix`` of the chosen rows, by the table that tasks hold and what each has learned."""
+    sent = docs.sparkSession.sparkContext.broadcast((chosen, keys, counts))
+
+    def sets(batches):
+        for batch in batches:
+            for b in chunks(batch):
+                found, own = _own(b, width, sent.value[0])
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["class", "tokens"])
+
+    def run(batches):
+        table = sent.value[1:]
         for b in batches:
-            out = []
+            own, out = [], []
             for raw, shingles, holders in zip(b.column("tokens"), b.column("shingles"), b.column("holders")):
-                own = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                own.append(np.frombuffer(raw.as_buffer(), dtype=np.uint64))
                 met = shingles.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 order = np.argsort(met)
-                count = holders_of(own, *sent.value) + holders_of(own, met[order], holders.values.to_numpy(zero_copy_only=False)[order])
-                out.append((len(own), *prefix(own, count, threshold)))
-            n, chosen, m, rare = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("class"), pa.array(n, pa.int64()), pa.array(m, pa.int32()), pa.array(rare, pa.int32()), pa.array([_signed(p) for p in chosen], pa.list_(pa.int64()))],
-                ["class", "n", "m", "rare", "prefix"],
-            )
+                count = holders_of(own[-1], *table) + holders_of(own[-1], met[order], holders.values.to_numpy(zero_copy_only=False)[order])
+                out.append(prefix(own[-1], count, threshold))
+            yield _prefixes(b.column("class"), own, out)
 
-    return now.join(learned, "class").select("class", "tokens", "shingles", "holders").mapInArrow(run, "class long, n long, m int, rare int, prefix array<long>")
+    made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "class long, tokens binary")
+    lists = [F.coalesce(c, F.array().cast("array<long>")).alias(c) for c in ("shingles", "holders")]
+    return made.join(learned, "class", "left").select("class", "tokens", *lists).mapInArrow(run, PREFIX).dropDuplicates(["class"])
 
 
 def _indexed(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -407,47 +520,55 @@ def _indexed(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[Da
     keys, counts = frequent_shingles(docs, width, most)
     found = stored(classes(docs, width, threshold, keys, counts), "jaccard-classes")
     full = found.filter("n > 0")
-    rows = stored(_rows(full), "jaccard-rows")
-    state, known, sets = None, None, None
-
-    def with_sets(of: DataFrame) -> DataFrame:
-        new = of if sets is None else of.join(sets.select("class"), "class", "left_anti")
-        wanted = stored(full.join(new, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
-        if sets is not None and wanted.isEmpty():
-            return sets
-        more = stored(_sets(docs, wanted, width), "jaccard-touched-sets")
-        return more if sets is None else sets.union(more)
-
+    rows = _rows(full)
+    state, known, room = None, None, MOST_LEARNED
     while True:
         often = rows.filter("at < rare").groupBy("token").agg(F.count("*").alias("holders")).filter(F.col("holders") > FEW_HOLDERS)
         often = stored(often, "jaccard-often")
         n_pairs = often.agg(F.sum(F.col("holders") * (F.col("holders") - 1) / 2)).first()[0] or 0
         if n_pairs <= rows.count():
-            return found, full, rows
+            break
         if state is None:
             state = full.select("class", "n", "m", "rare", "prefix").join(rows.select("class").distinct(), "class", "left_semi")
             state = stored(state, "jaccard-state")
         touched = stored(rows.filter("at < rare").join(often.select("token"), "token", "left_semi").select("class").distinct(), "jaccard-touched")
-        sets = with_sets(touched)
-        counted = _entries(sets.join(touched, "class", "left_semi"), unknown_to=(keys, counts)).groupBy("token").agg(F.count("*").alias("holders"))
-        counted = counted.filter(F.col("holders") > FEW_HOLDERS)
+        counted = _counted(docs, width, _chosen(full, touched), keys, counts)
         counted = stored(counted if known is None else counted.join(known.select("token"), "token", "left_anti"), "jaccard-learned")
-        known = counted if known is None else known.union(counted)
-        fronts = state.select("class", F.explode(F.slice("prefix", 1, F.col("rare"))).alias("token"))
-        touched = stored(fronts.join(counted.select("token"), "token", "left_semi").select("class").distinct(), "jaccard-touched")
-        sets = with_sets(touched)
-        now = sets.join(touched, "class", "left_semi")
-        renewed = stored(_renewed(now, _learned(now, known, _screen(known)), threshold, keys, counts), "jaccard-renewed")
-        state = stored(state.join(touched, "class", "left_anti").union(renewed), "jaccard-state")
-        rows = stored(_rows(state), "jaccard-rows")
+        discard(often, touched, rows)
+        new = _commonest(counted, room)
+        if len(new[0]):
+            room -= len(new[0])
+            keys, counts = np.concatenate([keys, new[0]]), np.concatenate([counts, new[1]])
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
+            touched = stored(_holding(state, new[0]), "jaccard-touched")
+            discard(counted)
+        else:
+            known = counted if known is None else known.union(counted)
+            fronts = state.select("class", F.explode(F.slice("prefix", 1, F.col("rare"))).alias("token"))
+            touched = stored(fronts.join(counted.select("token"), "token", "left_semi").select("class").distinct(), "jaccard-touched")
+        chosen = _chosen(full, touched)
+        if known is None:
+            renewed = _again(docs, width, threshold, chosen, keys, counts)
+        else:
+            learned = stored(_learned(docs, width, chosen, known), "jaccard-known")
+            renewed = _renewed(docs, width, threshold, chosen, learned, keys, counts)
+        renewed = stored(renewed.join(touched, "class", "left_semi"), "jaccard-renewed")
+        last, state = state, stored(state.join(touched, "class", "left_anti").union(renewed), "jaccard-state")
+        discard(last, touched, renewed, learned if known is not None else None)
+        rows = _rows(state)
+    discard(often, state)
+    return found, full, rows
 
 
 def _all_links(docs: DataFrame, full: DataFrame, rows: DataFrame, width: int, threshold: int) -> DataFrame:
     """``u, v`` with u < v: all classes of different sets that link, as a stored table."""
-    rows = stored(_with_parity(rows, full), "jaccard-open")
+    bare, rows = rows, stored(_with_parity(rows, full), "jaccard-open")
     near = _fits("x", "y", threshold) & _near("x", "y", threshold)
     both = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & near)
-    return stored(_verified(_pairs(both, threshold), docs, full, width, threshold), "jaccard-links")
+    links = _verified(_pairs(both, threshold), docs, full, width, threshold)
+    discard(bare, rows)
+    return links
 
 
 def pairs(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOST_FREQUENT) -> tuple[DataFrame, DataFrame]:
@@ -478,24 +599,33 @@ def groups(docs: DataFrame, width: int = 5, threshold: int = 80, most: int = MOS
     ``component_id`` is the smallest ``doc_id`` reachable by links, the
     document's own included; ``class_size`` the number of rows with its set.
     """
+    return _groups(docs, width, threshold, most)[0]
+
+
+def _groups(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``groups``, and the stored tables that it reads."""
     found, full, rows = _indexed(docs, width, threshold, most)
     first = rows.groupBy("token").agg(F.min(F.struct("at", "class", "n", "m", "met")).alias("f")).select("token", "f.*")
     star = rows.alias("x").join(first.alias("y"), F.col("x.token") == F.col("y.token")).filter("x.class <> y.class")
-    links = stored(_verified(_pairs(star, threshold), docs, full, width, threshold), "jaccard-star")
+    links = _verified(_pairs(star, threshold), docs, full, width, threshold)
     labels = stored(components(links), "jaccard-labels")
 
     labelled = rows.join(labels, rows["class"] == labels["node"], "left").select(rows["*"], F.coalesce("root", "class").alias("root"))
     labelled = stored(labelled, "jaccard-labelled")
+    discard(rows, labels)
     open_tokens = labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("token")
     still = stored(_with_parity(labelled.join(open_tokens, "token", "left_semi"), full), "jaccard-open")
+    discard(labelled)
     crossing = still.alias("x").join(
         still.alias("y"),
         (F.col("x.token") == F.col("y.token")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root"))
         & _fits("x", "y", threshold) & _near("x", "y", threshold),
     )
     more = _verified(_pairs(crossing, threshold), docs, full, width, threshold)
+    discard(still)
     labels = stored(components(links.union(more)), "jaccard-components")
-    return _grouped(found, full, labels).drop("class")
+    discard(links, more)
+    return _grouped(found, full, labels).drop("class"), [found, labels]
 
 
 def _grouped(found: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
@@ -512,6 +642,7 @@ def _grouped(found: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of their group, with all their columns."""
     stay_id = free_name(docs, "stay_id")
-    found = groups(docs, width, threshold)
+    found, read = _groups(docs, width, threshold, MOST_FREQUENT)
     stays = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(stay_id)).distinct(), "jaccard-kept")
+    discard(*read)
     return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)), "left_semi")

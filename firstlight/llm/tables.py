@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from firstlight.session import scratch_dir
 
+# Shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -13,9 +16,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to a new folder and read again: lineage ends there, and a lost executor costs nothing."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes the folders of tables that ``stored`` made; nothing may read them any more."""
+    for df in tables:
+        if df is not None:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:
