@@ -34,7 +34,7 @@ class Splitter:
         self._pre = tokenizer.pre_tokenizer
         self._class = np.full(CODE_POINTS, UNKNOWN, dtype=np.uint8)
         self._hash = mix(np.arange(1, CODE_POINTS + 1, dtype=np.uint64))
-        self._power = np.zeros(0, dtype=np.uint64)
+        self._power = np.zeros((2, 0), dtype=np.uint64)
         self._classify(np.arange(128))
 
     def _classify(self, points: np.ndarray) -> None:
@@ -89,7 +89,7 @@ class Splitter:
             return Spans("", none, none, none.view(np.uint64), none, np.zeros(len(texts) + 1, dtype=np.int64))
         starts = self.starts(points, offsets)
         ends = np.append(starts[1:], len(points))
-        if len(self._power) <= len(points):
+        if self._power.shape[1] <= len(points):
             base = 0x9E3779B97F4A7C15
             self._power = np.ones((2, max(len(points) + 1, 1 << 20)), dtype=np.uint64)
             for row, x in enumerate((base, pow(base, -1, 1 << 64))):

@@ -54,17 +54,20 @@ def encode_file(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> by
 
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     row = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-    planes = []
+    planes, below = [], np.empty_like(row)
     for level in range(bits):
-        bit = (row >> (bits - 1 - level)) & 1 == 1
+        bit = (row & row.dtype.type(1 << (bits - 1 - level))).astype(bool)
         blocks, ones = [], [0]
         for b in range(0, len(row), BLOCK_BITS):
             part = bit[b : b + BLOCK_BITS]
             blocks.append(put(np.packbits(part, bitorder="little").tobytes()))
             ones.append(ones[-1] + int(np.count_nonzero(part)))
         planes.append({"blocks": blocks, "ones": ones})
-        # Places, since masks of mixed bits are several times slower.
-        row = np.concatenate([row[np.flatnonzero(~bit)], row[np.flatnonzero(bit)]])
+        # Places, since masks of mixed bits are several times slower; they are all inside the row, so nothing is clipped.
+        zeros = len(row) - ones[-1]
+        np.take(row, np.flatnonzero(~bit), out=below[:zeros], mode="clip")
+        np.take(row, np.flatnonzero(bit), out=below[zeros:], mode="clip")
+        row, below = below, row
     head = {
         "n": len(ids), "docs": len(doc_ids), "bits": bits, "block_bits": BLOCK_BITS, "planes": planes,
         "doc_ids": put(doc_ids.astype("<i8").tobytes()), "lengths": put(lengths.astype("<i8").tobytes()),
