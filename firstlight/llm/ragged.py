@@ -63,9 +63,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each byte span; equal bytes have equal hashes wherever they stand."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    up, down = _powers(len(data) + 1)
+    return hashes_of(span_totals(data), starts, ends)
+
+
+def span_totals(data: np.ndarray) -> np.ndarray:
+    """What ``hashes_of`` takes: running sums over the bytes."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_table()[data] * up[: len(data)], out=total[1:])
+    np.cumsum(_byte_table()[data] * _powers(len(data) + 1)[0][: len(data)], out=total[1:])
+    return total
+
+
+def hashes_of(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of spans of the bytes that the running sums are of."""
+    down = _powers(len(total))[1]
     lengths = (ends - starts).astype(np.uint64)
     return mix((total[ends] - total[starts]) * down[starts] + lengths * np.uint64(0xD1B54A32D192ED03))
 

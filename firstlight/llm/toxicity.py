@@ -33,12 +33,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firstlight.llm.language_id import crc32_of_id
-from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
+from firstlight.llm.ragged import LOWER, SPACE, chunks, hashes_of, mix, span_totals, utf8, words
 from firstlight.llm.tables import stored
 
 SAMPLE_TOXIC = 1 << 15
@@ -74,6 +75,8 @@ _EDGE[[b for b in range(33, 127) if not chr(b).isalpha()]] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[b for b in range(97, 123)]] = True
 _LETTER[128:] = True
+# Inside a word these are no letters.
+_ODD = ~_LETTER & ~SPACE
 # At an edge of a word these may be read as letters.
 _LEADING = np.zeros(256, dtype=bool)
 _LEADING[[ord(c) for c in LOOK_ALIKES if ord(c) < 128]] = True
@@ -92,12 +95,8 @@ class CharModel:
         bigram = (lower + 0.1) / (lower.sum(axis=1, keepdims=True) + 0.1 * self.SIZE)
         self.log = np.log((counts + 4 * bigram[None]) / (total + 4)).tolist()
 
-    @staticmethod
-    def codes(data: np.ndarray) -> np.ndarray:
-        out = np.full(len(data), 27, dtype=np.int64)
-        plain = (data >= 97) & (data <= 122)
-        out[plain] = data[plain] - 96
-        return out
+    CODES = np.full(256, 27, dtype=np.int16)
+    CODES[97:123] = np.arange(1, 27)
 
     def restore(self, word: str) -> str:
         """The most likely reading of a disguised word; spelled-out letters may give several, with blanks between them."""
@@ -109,6 +108,16 @@ class CharModel:
             while i + run < len(word) and word[i + run] == c:
                 run += 1
             i += run
+            after: dict[tuple[int, int], tuple[float, str]] = {}
+            if run == 1 and c.isalpha():
+                # A letter stands for itself.
+                k = ord(c) - 96 if "a" <= c <= "z" else 27
+                for (a, b), (cost, text) in states.items():
+                    total = cost - self.log[a][b][k]
+                    if (b, k) not in after or total < after[b, k][0]:
+                        after[b, k] = (total, text + c)
+                states = after
+                continue
             if c.isalpha():
                 # Nobody types a letter three times by chance: one or two are meant.
                 readings = [(c * run, 0.0)] + [(c, TWICE)] * (run == 2) if run < 3 else [(c, 0.0), (c + c, DOUBLED)]
@@ -124,7 +133,6 @@ class CharModel:
                     readings += [(meant * k, SUBSTITUTED * (1 if run < 3 else 2)) for k in ({run} if run < 3 else {1, 2})]
                 if c in MASKS and run == 1:
                     readings += [(x, MASKED * 2) for x in LETTERS]
-            after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (cost, text) in states.items():
                 for meant, price in readings:
                     p, q, total = a, b, cost + price
@@ -148,71 +156,95 @@ class Tokens:
         n_docs = len(offsets) - 1
         doc = np.repeat(np.arange(n_docs), np.diff(bounds))
         # Letters spelled out one by one, three or more in a row, look-alikes among them.
-        lone = (ends - starts == 1) & (_LETTER | _LEADING)[data[starts]] if len(starts) else np.zeros(0, dtype=bool)
-        same = np.append(False, doc[1:] == doc[:-1]) if len(doc) else np.zeros(0, dtype=bool)
-        begins = lone & ~(np.append(False, lone[:-1]) & same) if len(lone) else lone
-        run = np.cumsum(begins)
+        lone = np.flatnonzero((ends - starts == 1) & (_LETTER | _LEADING)[data[starts]])
         spelled = []
-        if lone.any():
-            ids, first, count = np.unique(run[lone], return_index=True, return_counts=True)
-            at = np.flatnonzero(lone)
+        if len(lone):
+            first = np.flatnonzero(np.append(True, (np.diff(lone) > 1) | (np.diff(doc[lone]) > 0)))
+            count = np.diff(np.append(first, len(lone)))
             for f, c in zip(first[count >= 3].tolist(), count[count >= 3].tolist()):
-                raw = bytes(data[starts[at[f]] : ends[at[f + c - 1]]])
+                raw = bytes(data[starts[lone[f]] : ends[lone[f + c - 1]]])
                 if _LETTER[list(raw)].sum() > 1:
-                    spelled.append((int(doc[at[f]]), b" ".join(raw.split()).decode("utf-8", "replace")))
+                    spelled.append((int(doc[lone[f]]), b" ".join(raw.split()).decode("utf-8", "replace")))
         # Strip edges: positions of the first and last character that is no edge character, or may be a look-alike.
-        if len(starts):
-            closed = np.append(0, np.cumsum(data == ord(")")))
-            starts = starts + ((data[starts] == ord("(")) & (closed[ends] > closed[starts]))
-        near = lambda keep: np.append(np.flatnonzero(keep), len(data))
-        inner, leading, trailing = near(~_EDGE[data]), near((~_EDGE | _LEADING)[data]), near((~_EDGE | _TRAILING)[data])
-        first = inner[np.searchsorted(inner, starts)] if len(starts) else starts
-        last = inner[np.searchsorted(inner, ends) - 1] + 1 if len(starts) else ends
-        begin = leading[np.searchsorted(leading, starts)] if len(starts) else starts
-        end = trailing[np.searchsorted(trailing, ends) - 1] + 1 if len(starts) else ends
-        some = (first < ends) & (last > starts) if len(starts) else np.zeros(0, dtype=bool)
-        # Words of look-alikes alone, if they are of three or more that are not all the same.
-        differs = np.append(0, np.cumsum(np.append(False, data[1:] != data[:-1]))) if len(data) else np.zeros(1, dtype=np.int64)
-        bare = ~some & (end - begin >= 3) & (differs[np.minimum(np.maximum(end, begin), len(data))] > differs[np.minimum(begin + 1, len(data))]) if len(starts) else some
-        first, last = np.where(bare, begin, first), np.where(bare, end, last)
-        some = some | bare
-        starts, ends, first, last, begin, end, doc, bare = (x[some] for x in (starts, ends, first, last, begin, end, doc, bare))
-        lead, trail = begin < first, end > last
-        letter = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum(~_LETTER[data], out=letter[1:])
-        triple = np.zeros(len(data) + 1, dtype=np.int64)
-        if len(data) > 2:
-            np.cumsum((data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & _LETTER[data[2:]], out=triple[3:])
-        odd = letter[last] - letter[first] > 0
-        repeated = triple[last] - triple[np.minimum(first + 2, last)] > 0
-        twice = np.zeros(len(data) + 1, dtype=np.int64)
-        if len(data) > 1:
-            np.cumsum((data[1:] == data[:-1]) & _LETTER[data[1:]] & (data[1:] < 128), out=twice[2:])
-        doubled = twice[last] - twice[np.minimum(first + 1, last)] > 0
-        disguised = odd | repeated | doubled | lead | trail | bare
+        open_ = np.flatnonzero(data[starts] == ord("("))
+        closing = np.flatnonzero(data == ord(")"))
+        starts[open_] += np.searchsorted(closing, ends[open_]) > np.searchsorted(closing, starts[open_])
+        first, last, begin, end = starts.copy(), ends.copy(), starts.copy(), ends.copy()
+        bare = np.zeros(len(starts), dtype=bool)
+        edged = np.flatnonzero(_EDGE[data[starts]] | _EDGE[data[ends - 1]])
+        if len(edged):
+            near = lambda keep: np.append(np.flatnonzero(keep), len(data))
+            inner, leading, trailing = near(~_EDGE[data]), near((~_EDGE | _LEADING)[data]), near((~_EDGE | _TRAILING)[data])
+            s, e = starts[edged], ends[edged]
+            behind = lambda kept: np.where(e > kept[0], kept[np.searchsorted(kept, e) - 1] + 1, 0)
+            f, l = inner[np.searchsorted(inner, s)], behind(inner)
+            b, t = leading[np.searchsorted(leading, s)], behind(trailing)
+            some = (f < e) & (l > s)
+            # Words of look-alikes alone, if they are of three or more that are not all the same.
+            alone = np.flatnonzero(~some & (t - b >= 3))
+            if len(alone):
+                spans = np.stack([b[alone], t[alone]], axis=1).ravel()
+                padded = np.append(data, 0)
+                alone = alone[np.maximum.reduceat(padded, spans)[::2] > np.minimum.reduceat(padded, spans)[::2]]
+            f[alone], l[alone] = b[alone], t[alone]
+            some[alone] = True
+            first[edged], last[edged], begin[edged], end[edged] = f, l, b, t
+            bare[edged[alone]] = True
+            keep = np.ones(len(starts), dtype=bool)
+            keep[edged] = some
+            first, last, begin, end, doc, bare = (x[keep] for x in (first, last, begin, end, doc, bare))
+        disguised = bare | (begin < first) | (end > last)
+
+        def mark(places: np.ndarray, behind: int) -> None:
+            """Words that hold one of the places, so many bytes or more behind their first."""
+            word = np.searchsorted(first, places, side="right") - 1
+            word, places = word[word >= 0], places[word >= 0]
+            disguised[word[(places < last[word]) & (places >= first[word] + behind)]] = True
+
+        mark(np.flatnonzero(_ODD[data]), 0)
+        same = np.flatnonzero((data[1:] == data[:-1]) & _LETTER[data[1:]]) + 1
+        mark(same[data[same] < 128], 1)
+        mark(same[1:][np.diff(same) == 1], 2)
         self.starts, self.ends, self.doc = first[~disguised], last[~disguised], doc[~disguised]
-        at = np.flatnonzero(disguised)
-        raw = data.tobytes()
-        self.disguised = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin[at].tolist(), end[at].tolist())] + [w for _, w in spelled]
-        self.disguised_doc = np.concatenate([doc[at], np.array([d for d, _ in spelled], dtype=np.int64)])
+        self._totals = None
+        self._disguised = begin[disguised], end[disguised], doc[disguised]
+        self._spelled = spelled
         self.n_docs = n_docs
 
+    def totals(self) -> np.ndarray:
+        if self._totals is None:
+            self._totals = span_totals(self.data)
+        return self._totals
+
+    @property
+    def disguised(self) -> list[str]:
+        words_of, which, _ = self.disguised_words()
+        return [words_of[i] for i in which.tolist()]
+
+    def disguised_words(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Different disguised words, which of them each one is, and the document of each."""
+        begin, end, doc = self._disguised
+        unique, at, first = _different(hashes_of(self.totals(), begin, end))
+        raw = self.data.tobytes()
+        found = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin[first].tolist(), end[first].tolist())]
+        more = np.arange(len(self._spelled)) + len(found)
+        return found + [w for _, w in self._spelled], np.concatenate([at, more]), np.concatenate([doc, np.array([d for d, _ in self._spelled], dtype=np.int64)])
+
     def trigrams(self) -> np.ndarray:
         """Counts of character trigrams in plain words."""
-        codes = CharModel.codes(self.data)
         size = CharModel.SIZE
-        inside = np.zeros(len(codes) + 1, dtype=np.int64)
-        np.add.at(inside, self.starts, 1)
-        np.add.at(inside, self.ends, -1)
-        inside = np.cumsum(inside[:-1]) > 0
-        row = np.where(inside, codes, 0)
+        change = np.zeros(len(self.data) + 1, dtype=np.int8)
+        change[self.starts] += 1
+        change[self.ends] -= 1
+        row = CharModel.CODES[self.data] * np.cumsum(change[:-1], dtype=np.int8)
         # Words are apart by at least one other byte, which counts as the edge.
-        a, b, c = np.append(0, row[:-2]), row[:-1], row[1:]
-        if not len(b):
+        if len(row) < 2:
             return np.zeros((size, size, size), dtype=np.int64)
-        a = np.where(b == 0, 0, a)
-        keep = (b > 0) | (c > 0)
-        return np.bincount(((a * size + b) * size + c)[keep], minlength=size**3).reshape(size, size, size)
+        b, c = row[:-1], row[1:]
+        a = np.append(np.int16(0), row[:-2]) * (b > 0)
+        found = np.bincount((a * np.int16(size) + b) * np.int16(size) + c, minlength=size**3)
+        found[0] = 0
+        return found.reshape(size, size, size)
 
     def features(self, restore) -> tuple[np.ndarray, np.ndarray]:
         """Feature hashes of each word, from the whole word to its shortest beginning, and the word's document."""
@@ -220,27 +252,63 @@ class Tokens:
         return keys[at], doc
 
     def distinct_features(self, restore) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Feature hashes of each different word, which of them each word is, and the word's document.
+        """Feature hashes of each different word, from the whole word to its shortest beginning, which of them each word is, and the word's document.
 
         A word too short for a beginning has its whole hash there.
         """
-        data, starts, ends, doc = self.data, self.starts, self.ends, self.doc
-        if self.disguised:
-            readings = [restore(w).encode().split(b" ") for w in self.disguised]
-            restored = [x for words_of in readings for x in words_of]
-            extra_ends = np.cumsum([len(r) for r in restored]) + len(data)
-            extra_starts = np.append(len(data), extra_ends[:-1])
-            data = np.concatenate([data, np.frombuffer(b"".join(restored), dtype=np.uint8)])
-            some = extra_ends > extra_starts
-            starts, ends = np.concatenate([starts, extra_starts[some]]), np.concatenate([ends, extra_ends[some]])
-            doc = np.concatenate([doc, np.repeat(self.disguised_doc, [len(x) for x in readings])[some]])
-        whole, first, at = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        starts, ends = starts[first], ends[first]
+        words_of, which, owner = self.disguised_words()
+        readings = [[x for x in restore(w).encode().split(b" ") if x] for w in words_of]
+        restored = [x for several in readings for x in several]
+        sizes = np.array([len(x) for x in readings], dtype=np.int64)
+        behind = np.cumsum(sizes)
+        # The readings of each disguised word, one after the other.
+        n = sizes[which]
+        some = np.repeat((behind - sizes)[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        extra = np.frombuffer(b"".join(restored), dtype=np.uint8)
+        extra_ends = np.cumsum(np.array([len(x) for x in restored], dtype=np.int64))
+        extra_starts = np.append(0, extra_ends)[:-1]
+        sides = ((self.totals(), self.starts, self.ends), (span_totals(extra), extra_starts, extra_ends))
+        _, at, first = _different(np.concatenate([hashes_of(*side) for side in sides]))
+        plain = len(self.starts)
+        sides = [(total, starts[of], ends[of]) for (total, starts, ends), of in zip(sides, (first[first < plain], first[first >= plain] - plain))]
+        whole = np.concatenate([hashes_of(*side) for side in sides])
+        length = np.concatenate([ends - starts for _, starts, ends in sides])
         keys = [whole]
         for k in sorted(PREFIXES, reverse=True):
-            begun = mix(span_hashes(data, starts, np.minimum(starts + k, ends)) + np.uint64(k))
-            keys.append(np.where(ends - starts >= k, begun, whole))
-        return np.stack(keys, axis=1), at, doc
+            begun = np.concatenate([hashes_of(total, starts, np.minimum(starts + k, ends)) for total, starts, ends in sides])
+            keys.append(np.where(length >= k, mix(begun + np.uint64(k)), whole))
+        return np.stack(keys, axis=1), np.concatenate([at[:plain], at[plain:][some]]), np.concatenate([self.doc, np.repeat(owner, n)])
+
+    def document_features(self, restore, of=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature hashes, and which of them each document has, each once; ``of`` tells which features of the different words count."""
+        keys, at, doc = self.distinct_features(restore)
+        ids, features = pd.factorize(keys.ravel())
+        ids, size = ids.reshape(keys.shape), max(1, len(features))
+        pair = _once(doc * max(1, len(keys)) + at)
+        doc, word = pair // max(1, len(keys)), pair % max(1, len(keys))
+        if of is None:
+            pair = (doc[:, None] * size + ids[word]).ravel()
+        else:
+            counts = of(keys)
+            some = counts.any(axis=1)[word]
+            doc, word = doc[some], word[some]
+            pair = (doc[:, None] * size + ids[word])[counts[word]]
+        pair = _once(pair)
+        return features, pair % size, pair // size
+
+
+def _once(values: np.ndarray) -> np.ndarray:
+    """The values in order, without repeats; several times faster here than ``unique``."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
+
+
+def _different(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different hashes, which of them each one is, and where each stands first; in the order of their first places."""
+    at, unique = pd.factorize(hashes)
+    first = np.zeros(len(unique), dtype=np.int64)
+    first[at[::-1]] = np.arange(len(at) - 1, -1, -1)
+    return unique, at, first
 
 
 class Restorer:
@@ -382,19 +450,14 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     chars[grams["gram"].to_numpy(dtype=np.int64)] = grams["n"].to_numpy()
     chars = chars.reshape((CharModel.SIZE,) * 3)
 
-    def per_document(b, restore):
-        """Each feature of each document once."""
-        keys, owner = Tokens(b.column("text")).features(restore)
-        return _once(keys.ravel(), np.repeat(owner, keys.shape[1]))
-
     def toxic_features(batches):
-        restore, held = restorer(chars), [np.zeros(0, dtype=np.uint64)]
-        docs_seen = 0
+        restore, held = restorer(chars), [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
         for b in labelled(batches):
             b = b.filter(pa.array(b.column("label").to_numpy() == 1))
-            held.append(per_document(b, restore))
-            docs_seen += b.num_rows
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
+            features, which, _ = Tokens(b.column("text")).document_features(restore)
+            held.append((features, np.bincount(which, minlength=len(features))))
+        at, keys = pd.factorize(np.concatenate([k for k, _ in held]))
+        n = np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(keys))
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["feature", "n"])
 
     found = stored(
@@ -415,10 +478,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
             total[-1] += int((b.column("label").to_numpy() == 1).sum())
             b = b.filter(pa.array(b.column("label").to_numpy() == 0))
             total[-2] += b.num_rows
-            have = per_document(b, restore)
-            if len(known) and len(have):
-                at = np.minimum(np.searchsorted(known, have), len(known) - 1)
-                total[:-2] += np.bincount(at[known[at] == have], minlength=len(known))
+            features, which, _ = Tokens(b.column("text")).document_features(restore)
+            at = _find(known, features)
+            total[:-2][at[at >= 0]] += np.bincount(which, minlength=len(features))[at >= 0]
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
@@ -440,18 +502,17 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     strong = np.sort(keys[(share >= LEAST_SHARE) & (share > base) & (evidence >= SIGNIFICANCE)])
     under = spark.sparkContext.broadcast(strong)
 
+    def with_evidence(keys):
+        """Evidence and what is longer than it in the same word; shorter features are not counted in full here."""
+        hit = _find(under.value, keys) >= 0
+        return np.logical_or.accumulate(hit[:, ::-1], axis=1)[:, ::-1]
+
     def below(batches):
         restore = restorer(chars)
         held = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))]
         for b in labelled(batches):
-            words_of, owner = Tokens(b.column("text")).features(restore)
-            # Evidence and what is longer than it in the same word; shorter features are not counted in full here.
-            hit = _find(under.value, words_of) >= 0
-            hit = np.logical_or.accumulate(hit[:, ::-1], axis=1)[:, ::-1]
-            for label in (0, 1):
-                mine = hit & (b.column("label").to_numpy()[owner] == label)[:, None]
-                got = _once(words_of[mine], np.repeat(owner[:, None], words_of.shape[1], axis=1)[mine])
-                held.append((got, np.full(len(got), label)))
+            features, which, owner = Tokens(b.column("text")).document_features(restore, with_evidence)
+            held.append((features[which], b.column("label").to_numpy()[owner]))
         found = np.concatenate([k for k, _ in held])
         unique, at = np.unique(found, return_inverse=True)
         toxic_n = np.bincount(at, weights=np.concatenate([x for _, x in held]), minlength=len(unique)).astype(np.int64)
@@ -479,13 +540,6 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     return model
 
 
-def _once(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """The keys of each owner without repeats."""
-    order = np.lexsort((keys, owner))
-    keys, owner = keys[order], owner[order]
-    return keys[np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))] if len(keys) else keys
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score, predicted`` of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
