@@ -5,6 +5,7 @@ import os
 import fixtures
 import pytest
 from test_links import passages
+from test_sets import plain_groups
 
 from firstlight.llm import jaccard_join
 from firstlight.session import scratch_dir
@@ -21,9 +22,18 @@ def test_near_copies_leave_one_table(spark):
 
 @pytest.mark.parametrize("room", [0, 40, 1 << 20])
 def test_learned_shingles_in_a_table_and_beyond_it(spark, monkeypatch, room):
-    """The same index size and groups whether tasks hold all learned shingles, some or none."""
+    """An index that grows with the corpus and all groups, whether tasks hold all learned shingles, some or none."""
     monkeypatch.setattr(jaccard_join, "MOST_LEARNED", room)
     rows = passages(3)
     index = jaccard_join._indexed(fixtures.docs(spark, rows), 5, 80, 1)[2]
     n_pairs = index.groupBy("token").count().selectExpr("sum(count * (count - 1) / 2)").first()[0] or 0
     assert n_pairs <= 4 * index.count()
+
+
+@pytest.mark.parametrize("room", [0, 1 << 20])
+def test_groups_by_learned_shingles(spark, monkeypatch, room):
+    monkeypatch.setattr(jaccard_join, "MOST_LEARNED", room)
+    rows = passages(2)
+    rows += [(1000 + i, f"{t} more", "en") for i, t, _ in rows[::3]] + [(2000, None, None), (None, rows[1][1], "en"), (0, rows[5][1], "en")]
+    got = jaccard_join.groups(fixtures.docs(spark, rows), 5, 80, 1)
+    assert fixtures.rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 5, 80)
