@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from firstlight.llm.ragged import mix
+from firstlight.llm.tables import small_batches
 
 BITS = 1 << 26
 BUCKET_KEYS = 1 << 18
@@ -74,6 +75,8 @@ def bloom(rows: DataFrame, n_keys: int, least: int = 1) -> Bloom:
 
     dealt = rows.select("keys").mapInArrow(deal, "bucket int, part binary")
     segments = np.zeros(buckets * segment // 8, dtype=np.uint8)
-    for r in dealt.groupBy("bucket").applyInPandas(fill, "bucket int, bits binary").collect():
+    with small_batches(rows.sparkSession):
+        filled = dealt.groupBy("bucket").applyInPandas(fill, "bucket int, bits binary").collect()
+    for r in filled:
         segments[r["bucket"] * segment // 8 : (r["bucket"] + 1) * segment // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
     return Bloom(buckets, segments)

@@ -72,6 +72,26 @@ ROW_COST, VERIFY_COST, RARE_HOLDERS = 1.0, 0.05, 0.2
 _FACTORS = mix(np.arange(11, 11 + 64, dtype=np.uint64)) | np.uint64(1)
 
 
+def _counts(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of all sets, and in how many each is; the list is emptied."""
+    tokens = np.concatenate(held)
+    held.clear()
+    tokens.sort()
+    first = np.flatnonzero(_firsts(tokens))
+    return tokens[first], np.diff(first, append=len(tokens))
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    begins = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
+    return begins
+
+
+def _distinct(shingles: np.ndarray) -> np.ndarray:
+    shingles = np.sort(shingles)
+    return shingles[_firsts(shingles)]
+
+
 def shingle_sets(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each row's text."""
     data, offsets = utf8(batch.column("text"))
@@ -86,7 +106,7 @@ def shingle_sets(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if b - a >= width:
-            out.append(np.unique(rolled[a : b - width + 1]))
+            out.append(_distinct(rolled[a : b - width + 1]))
         elif b > a:
             whole = (hashes[a:b] * _FACTORS[: b - a]).sum(dtype=np.uint64, keepdims=True)
             out.append(mix(whole + _FACTORS[-1 - (b - a)]))
@@ -135,7 +155,7 @@ def frequent_shingles(docs: DataFrame, width: int, most: int = MOST_FREQUENT) ->
         held, rows, total = [], 0, 0
 
         def flush():
-            unique, n = np.unique(np.concatenate(held), return_counts=True)
+            unique, n = _counts(held)
             many = n > 1
             keys, counts = _signed(unique[many]), n[many]
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64)), pa.array(np.zeros(len(keys), dtype=np.int64))], ["token", "n", "total"])
@@ -389,7 +409,7 @@ def _counted(docs: DataFrame, width: int, chosen, keys: np.ndarray, counts: np.n
         held, size = [], 0
 
         def flush():
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            tokens, n = _counts(held)
             new = holders_of(tokens, *table) == 0
             return pa.RecordBatch.from_arrays([pa.array(_signed(tokens[new])), pa.array(n[new].astype(np.int64))], ["token", "n"])
 

@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from firstlight.session import scratch_dir
 
 # Shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Rows that a task hands to Python at once: a batch of texts, sets or prefixes stands in memory several times on both sides.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1 << 11
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Inside, queries hand at most ``BATCH_ROWS`` rows to Python at once."""
+    before = spark.conf.get(BATCH)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to a new folder and read again: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
@@ -21,7 +38,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        with small_batches(spark):
+            df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     found = spark.read.schema(df.schema).parquet(path)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from firstlight.llm.language_id import crc32_of_id
 from firstlight.llm.ragged import LOWER, SPACE, chunks, hashes_of, mix, span_totals, utf8, words
-from firstlight.llm.tables import stored
+from firstlight.llm.tables import small_batches, stored
 
 SAMPLE_TOXIC = 1 << 15
 SAMPLE_CLEAN = 1 << 16
@@ -423,6 +423,11 @@ def _label(ids: np.ndarray, labels: np.ndarray, column: pa.Array) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:
     """Learns from documents with a label in ``labels (doc_id, toxic)``; rows with other ids are not read as labels."""
+    with small_batches(docs.sparkSession):
+        return _fit(docs, labels, toxic, clean)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> Model:
     spark = docs.sparkSession
     given = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     given = given.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))

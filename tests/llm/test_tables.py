@@ -3,11 +3,12 @@
 import os
 
 import fixtures
+import pyarrow as pa
 import pytest
 from test_links import passages
 from test_sets import plain_groups
 
-from firstlight.llm import jaccard_join
+from firstlight.llm import jaccard_join, tables
 from firstlight.session import scratch_dir
 
 
@@ -37,3 +38,12 @@ def test_groups_by_learned_shingles(spark, monkeypatch, room):
     rows += [(1000 + i, f"{t} more", "en") for i, t, _ in rows[::3]] + [(2000, None, None), (None, rows[1][1], "en"), (0, rows[5][1], "en")]
     got = jaccard_join.groups(fixtures.docs(spark, rows), 5, 80, 1)
     assert fixtures.rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 5, 80)
+
+
+def test_python_gets_few_rows_at_once(spark):
+    """Tables are written from small batches, and the session's setting is as before afterwards."""
+    before = spark.conf.get(tables.BATCH)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches)
+    found = tables.stored(spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long"), "batches")
+    assert sorted(r[0] for r in found.collect())[-1] == tables.BATCH_ROWS
+    assert spark.conf.get(tables.BATCH) == before
