@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firstlight.llm.tables import free_name, stored
+from firstlight.llm.tables import discard, free_name, screened, stored
 
 WINDOW = 10
 SHINGLE = 4
@@ -76,7 +76,10 @@ def _tokenised(docs: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """``key_id, key_text, start, size, window``: every place where a window stands in a document."""
-    return _occurrences(_tokenised(docs), benchmark, window, shingle)
+    tokenised = _tokenised(docs)
+    found = _occurrences(tokenised, benchmark, window, shingle)
+    discard(tokenised)
+    return found
 
 
 def _occurrences(tokenised: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
@@ -84,6 +87,7 @@ def _occurrences(tokenised: DataFrame, benchmark: DataFrame, window: int, shingl
     pieces = stored(_window_shingles(found, shingle), "decontam-shingles")
     lengths = [r[0] for r in pieces.select("k").distinct().sort("k").collect()]  # at most `shingle` numbers
     if not lengths:
+        discard(pieces)
         return found.select(F.lit(0).cast("long").alias("key_id"), F.lit(0).cast("long").alias("key_text"), F.lit(0).alias("start"), "size", "window")
     placed = tokenised.select("key_id", "key_text", "w", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
     # The shingles of all lengths at one place, in one pass.
@@ -102,13 +106,18 @@ def _occurrences(tokenised: DataFrame, benchmark: DataFrame, window: int, shingl
         .select("key_id", "key_text", F.struct(start.alias("start"), F.col("size").cast("int").alias("size"), "window").alias("c"))
         .groupBy("key_id", "key_text").agg(F.collect_set("c").alias("candidates"))
     )
-    checked = tokenised.select("key_id", "key_text", "w").join(candidates, ["key_id", "key_text"]).select(
+    candidates = stored(candidates, "decontam-candidates")
+    key = [F.col("key_id"), F.col("key_text")]
+    met = screened(tokenised.select(*key, "w"), key, candidates.select(*key))[1]
+    checked = met.join(candidates, ["key_id", "key_text"]).select(
         "key_id", "key_text",
         F.explode(
             F.filter("candidates", lambda c: F.concat_ws(" ", F.slice(F.col("w"), c["start"] + 1, c["size"])) == c["window"])
         ).alias("c"),
     )
-    return stored(checked.select("key_id", "key_text", "c.*").distinct(), "decontam-occurrences")
+    places = stored(checked.select("key_id", "key_text", "c.*").distinct(), "decontam-occurrences")
+    discard(found, pieces, hits, candidates)
+    return places
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -136,8 +145,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
+    """The rows of ``docs`` in which no benchmark window occurs, with all their columns.
+
+    Only rows that may have the id and text of one with a window are shuffled.
+    """
     hit_id, hit_text = free_name(docs, "hit_id"), free_name(docs, "hit_text")
     hit = occurrences(docs, benchmark, window, shingle).select(F.col("key_id").alias(hit_id), F.col("key_text").alias(hit_text)).distinct()
-    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col(hit_id)) & (F.xxhash64(docs["text"]) == F.col(hit_text))
-    return docs.join(hit, same, "left_anti")
+    key_id, key_text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64("text")
+    clean, several = screened(docs, [key_id, key_text], hit)
+    return clean.unionByName(several.join(hit, (key_id == F.col(hit_id)) & (key_text == F.col(hit_text)), "left_anti"))

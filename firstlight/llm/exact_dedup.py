@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from firstlight.llm.decontam import lowered
 from firstlight.llm.ragged import lower_ascii, mix
-from firstlight.llm.tables import free_name, shuffle_partitions, stored
+from firstlight.llm.tables import discard, free_name, screened, shuffle_partitions, stored
 
 BUCKET_KEYS = 1 << 18
 FINGERPRINT_BITS = 16
@@ -149,7 +149,9 @@ def screen(incoming_groups: DataFrame, filters: DataFrame, buckets: int) -> Data
 def _checked(docs: DataFrame, members: DataFrame) -> DataFrame:
     """``digest, same``: whether all texts of the digests in ``members`` are the same bytes.
 
-    Copies met in one task are one row before the shuffle, however many there are.
+    Copies met in one task are one row before the shuffle, however many there
+    are. Texts of ids that are not in ``members`` stay out of it; the few that
+    a filter of the ids lets through have digests of their own.
     """
 
     def lowered(batches):
@@ -158,8 +160,7 @@ def _checked(docs: DataFrame, members: DataFrame) -> DataFrame:
             digests = [hashlib.sha256(t).digest() for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(texts, pa.binary())], ["digest", "bytes"])
 
-    ids = members.select(F.col("doc_id").alias("member")).distinct()
-    texts = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("member")), "left_semi").select("text")
+    texts = screened(docs, [F.col("doc_id").cast("long")], members.select("doc_id"))[1].select("text")
     exact = texts.mapInArrow(lowered, "digest binary, bytes binary").groupBy("digest", "bytes").agg(F.lit(1).alias("one"))
     return exact.groupBy("digest").agg((F.count("*") == 1).alias("same"))
 
@@ -170,14 +171,19 @@ def dedup_batch(snapshot: DataFrame, incoming: DataFrame, bucket_keys: int = BUC
     ``keep_id`` is the largest ``doc_id`` of the group. A digest whose texts
     differ in bytes stops the job; it is never merged.
     """
+    return _dedup_batch(snapshot, incoming, bucket_keys)[0]
+
+
+def _dedup_batch(snapshot: DataFrame, incoming: DataFrame, bucket_keys: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``dedup_batch``, and the stored tables that it reads."""
     spark = incoming.sparkSession
     old, new = stored(with_digests(snapshot), "dedup-old"), stored(with_digests(incoming), "dedup-new")
     old_groups, new_groups = stored(_groups(old), "dedup-old-groups"), _groups(new)
     buckets = max(shuffle_partitions(spark), -(-max(old_groups.count(), new.count()) // bucket_keys))
-    screened = stored(screen(new_groups, build_filters(old_groups, buckets), buckets), "dedup-screened")
+    screened_groups = stored(screen(new_groups, build_filters(old_groups, buckets), buckets), "dedup-screened")
     was = old_groups.select("digest", F.col("n").alias("old_n"), F.col("keep_id").alias("old_keep"))
-    met = screened.filter("positive").join(was, "digest", "left")
-    fresh = screened.filter("not positive").withColumns({"old_n": F.lit(None).cast("long"), "old_keep": F.lit(None).cast("long")})
+    met = screened_groups.filter("positive").join(was, "digest", "left")
+    fresh = screened_groups.filter("not positive").withColumns({"old_n": F.lit(None).cast("long"), "old_keep": F.lit(None).cast("long")})
     merged_new = met.unionByName(fresh).select(
         "digest",
         (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("group_size"),
@@ -187,32 +193,45 @@ def dedup_batch(snapshot: DataFrame, incoming: DataFrame, bucket_keys: int = BUC
     groups = stored(
         merged_new.unionByName(only_old.select("digest", F.col("n").alias("group_size"), "keep_id")), "dedup-groups"
     )
+    discard(old_groups, screened_groups)
     rows = old.unionByName(new)
     several = groups.filter("group_size > 1").select("digest")
     same = _checked(snapshot.select("doc_id", "text").unionByName(incoming.select("doc_id", "text")), rows.join(several, "digest", "left_semi"))
     checked = groups.join(same, "digest", "left")
     safe = F.when(F.col("same") == F.lit(False), F.raise_error(F.lit("texts with one digest differ"))).otherwise(F.col("keep_id"))
     joined = rows.join(checked.select("digest", "group_size", safe.cast("long").alias("keep_id")), "digest")
-    return joined.select(
+    found = joined.select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+    return found, [old, new, groups]
 
 
 def dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """``dedup_batch`` of a table with itself: the older half of the ids is the snapshot, the newer half the batch."""
+    return _dedup(docs, bucket_keys)[0]
+
+
+def _dedup(docs: DataFrame, bucket_keys: int) -> tuple[DataFrame, list[DataFrame]]:
     middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).cast("long")).first()[0]
     old = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(True))
-    return dedup_batch(docs.filter(old), docs.filter(~old), bucket_keys)
+    return _dedup_batch(docs.filter(old), docs.filter(~old), bucket_keys)
 
 
 def without_copies(docs: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows of one id and equal text one stays."""
-    stay_id, stay_sha, own_sha = (free_name(docs, n) for n in ("stay_id", "stay_sha", "own_sha"))
-    kept = dedup(docs, bucket_keys).filter("kept").select(F.col("doc_id").alias(stay_id), F.col("text_sha256").alias(stay_sha))
-    stays = stored(kept.distinct(), "dedup-kept")
+    """The rows of ``docs`` that stay, with all their columns; of rows of one id and equal text one stays.
+
+    Only rows that may have the id of a copy are shuffled.
+    """
+    gone_id, gone_sha, own_sha = (free_name(docs, n) for n in ("gone_id", "gone_sha", "own_sha"))
+    found, read = _dedup(docs, bucket_keys)
+    copies = stored(found.filter("group_size > 1").select("doc_id", "kept", "text_sha256").distinct(), "dedup-copies")
+    discard(*read)
+    doc_id = F.col("doc_id").cast("long")
+    alone, several = screened(docs, [doc_id], copies.select("doc_id"))
+    gone = copies.filter("not kept").select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha))
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumn(own_sha, F.sha2(lowered(text).cast("binary"), 256))
-    kept = own.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)) & (F.col(own_sha) == F.col(stay_sha)), "left_semi")
-    return kept.dropDuplicates(["doc_id", own_sha]).drop(own_sha)
+    own = several.withColumn(own_sha, F.sha2(lowered(text).cast("binary"), 256))
+    kept = own.join(gone, doc_id.eqNullSafe(F.col(gone_id)) & (F.col(own_sha) == F.col(gone_sha)), "left_anti")
+    return alone.unionByName(kept.dropDuplicates(["doc_id", own_sha]).drop(own_sha))

@@ -22,8 +22,8 @@ bound in how many shingles two sets differ, leave room for a link. Candidates
 are then held against histograms of their sets, which bound what two sets can
 share; the sets themselves are only made and moved for the rest.
 
-The first prefixes follow a frequency table of fixed size: shingles with at
-least 1/MOST_FREQUENT of all occurrences. What it misses is learned: the
+The first prefixes follow a frequency table of bounded size: the MOST_FREQUENT
+commonest shingles that tasks met more than once. What it misses is learned: the
 holders of prefix shingles are counted exactly, in one exchange. Of the classes
 with a shingle of more than FEW_HOLDERS all shingles are counted, from the texts,
 and those with more than FEW_HOLDERS move behind those not known. Every class that has one of
@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from firstlight.llm.bloom import bloom
 from firstlight.llm.components import components
 from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
-from firstlight.llm.tables import discard, free_name, stored
+from firstlight.llm.tables import discard, free_name, screened, stored
 
 MOST_FREQUENT = 1 << 22
 # Learned shingles that tasks hold beside these.
@@ -146,19 +146,18 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def frequent_shingles(docs: DataFrame, width: int, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles held by at least 1/most of all (document, shingle) pairs, and by how many; sorted by shingle.
+    """The ``most`` commonest shingles with more than FEW_HOLDERS, as far as tasks met them, and by how many they are held; sorted by shingle.
 
-    Tasks report the shingles that they met more than once, and their total.
+    Tasks report the shingles that they met more than once.
     """
 
     def run(batches):
-        held, rows, total = [], 0, 0
+        held, rows = [], 0
 
         def flush():
             unique, n = _counts(held)
             many = n > 1
-            keys, counts = _signed(unique[many]), n[many]
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64)), pa.array(np.zeros(len(keys), dtype=np.int64))], ["token", "n", "total"])
+            return pa.RecordBatch.from_arrays([pa.array(_signed(unique[many])), pa.array(n[many].astype(np.int64))], ["token", "n"])
 
         for batch in batches:
             for b in chunks(batch):
@@ -167,20 +166,15 @@ def frequent_shingles(docs: DataFrame, width: int, most: int = MOST_FREQUENT) ->
                 rows += sum(map(len, sets))
                 if rows > 1 << 22:
                     yield flush()
-                    held, total, rows = [], total + rows, 0
+                    held, rows = [], 0
         if held:
             yield flush()
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0]), pa.array([total + rows])], ["token", "n", "total"])
-
-    met = docs.select("text").mapInArrow(run, "token long, n long, total long")
-    met = stored(met.groupBy("token").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "jaccard-frequent")
-    total = met.agg(F.sum("total")).first()[0] or 0
-    least = max(2, -(-total // most))
-    found = met.filter(F.col("token").isNotNull() & (F.col("n") >= least)).select("token", "n").toPandas()  # at most `most` rows
-    keys, n = found["token"].to_numpy(dtype=np.int64).view(np.uint64), found["n"].to_numpy(dtype=np.int64)
+
+    met = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("holders"))
+    met = stored(met.filter(F.col("holders") > FEW_HOLDERS), "jaccard-frequent")
+    found = _commonest(met, most)
     discard(met)
-    order = np.argsort(keys)
-    return keys[order], n[order]
+    return found
 
 
 def least_shared(n, threshold: int):
@@ -309,27 +303,19 @@ def _pairs(joined: DataFrame, threshold: int) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``class, tokens``: the sets of the wanted documents, one row per class.
 
-    A filter of the wanted classes keeps most other documents' sets from being
-    shuffled; the join is exact.
+    A filter of the wanted rows keeps most other documents' sets from being
+    shuffled; the few that it lets through are sets of their classes too.
     """
-    n_keys = wanted.count()
-    sent = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.array("class").alias("keys")), n_keys))
+    sent = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
 
     def run(batches):
         for batch in batches:
             for b in chunks(batch):
-                sets = shingle_sets(b, width)
-                own = _signed(set_hashes(sets))
-                keep = np.flatnonzero(sent.value.contains(own) & np.array([len(s) > 0 for s in sets], dtype=bool))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(pa.array(keep)), pa.array(own[keep]), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
-                    ["doc_id", "class", "tokens"],
-                )
+                sets, own = _own(b, width, sent.value)
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "tokens"])
 
-    made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, class long, tokens binary")
-    ids = wanted.select(F.col("doc_id").alias("member"), F.col("class").alias("of"))
-    kept = made.join(ids, (F.col("class") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("member")), "left_semi")
-    return kept.select("class", "tokens").dropDuplicates(["class"])
+    made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "class long, tokens binary")
+    return made.dropDuplicates(["class"])
 
 
 def _possible(pairs: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
@@ -385,12 +371,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, t
 def _chosen(full: DataFrame, wanted: DataFrame):
     """A filter of one row of each wanted class, for ``_own``: its least ``doc_id``."""
     least = full.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    keys = stored(least.select(F.array(F.col("class").bitwiseXOR(F.coalesce("doc_id", F.lit(0).cast("long")))).alias("keys")), "jaccard-chosen")
-    found = bloom(keys, keys.count())
-    discard(keys)
+    least = stored(least, "jaccard-chosen")
+    found = _filter(least)
+    discard(least)
     return found
 
 
+def _filter(rows: DataFrame):
+    """A filter of ``class, doc_id``, for ``_own``."""
+    keys = F.array(F.col("class").bitwiseXOR(F.coalesce("doc_id", F.lit(0).cast("long"))))
+    return bloom(rows.select(keys.alias("keys")), rows.count())
+
+
 def _own(batch: pa.RecordBatch, width: int, chosen) -> tuple[list[np.ndarray], np.ndarray]:
     """The sets and classes of the batch's chosen rows; now and then of another one, or of two of a class."""
     sets = shingle_sets(batch, width)
@@ -660,9 +652,15 @@ def _grouped(found: DataFrame, full: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of their group, with all their columns."""
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of their group, with all their columns.
+
+    Only rows that may have the id of one that goes are shuffled.
+    """
     stay_id = free_name(docs, "stay_id")
     found, read = _groups(docs, width, threshold, MOST_FREQUENT)
-    stays = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(stay_id)).distinct(), "jaccard-kept")
+    kept = stored(found.select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays")).distinct(), "jaccard-kept")
     discard(*read)
-    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(stay_id)), "left_semi")
+    doc_id = F.col("doc_id").cast("long")
+    first, others = screened(docs, [doc_id], kept.filter("not stays").select("doc_id"))
+    stays = kept.filter("stays").select(F.col("doc_id").alias(stay_id))
+    return first.unionByName(others.join(stays, doc_id.eqNullSafe(F.col(stay_id)), "left_semi"))

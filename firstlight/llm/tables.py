@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firstlight.session import scratch_dir
 
@@ -13,6 +14,9 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Rows that a task hands to Python at once: a batch of texts, sets or prefixes stands in memory several times on both sides.
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1 << 11
+# Bits that tasks hold of the keys that rows are screened by, and those of one bitmap of Spark.
+SCREEN_BITS = 1 << 26
+BITMAP_BITS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +60,25 @@ def discard(*tables: DataFrame | None) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def screened(rows: DataFrame, key: list[Column], wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is in no row of ``wanted``, and all others, some of which have none there either.
+
+    ``wanted`` has the columns of the key only, of the same types. Tasks hold
+    one bit for each place of the keys' hashes, SCREEN_BITS at any table size,
+    so the first rows need no shuffle; an exact test of the others follows.
+    """
+    place = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(SCREEN_BITS))
+    block, bits = free_name(rows, "screen_block"), free_name(rows, "screen_bits")
+    at = place(wanted.columns)
+    places = wanted.select(F.floor(at / BITMAP_BITS).alias(block), (at % BITMAP_BITS).alias("bit")).distinct()
+    bitmaps = stored(places.groupBy(block).agg(F.bitmap_construct_agg("bit").alias(bits)), "screen")
+    at = place(key)
+    met = rows.withColumn(block, F.floor(at / BITMAP_BITS)).join(F.broadcast(bitmaps), block, "left")
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(at % BITMAP_BITS / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return met.filter(~hit).drop(block, bits), met.filter(hit).drop(block, bits)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, or with as many underscores in front as make it none of the frame's columns."""
     taken = {c.lower() for c in df.columns}

@@ -40,6 +40,16 @@ def test_groups_by_learned_shingles(spark, monkeypatch, room):
     assert fixtures.rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 5, 80)
 
 
+def test_frequent_shingles_need_no_learning(spark, monkeypatch):
+    """A passage of a few dozen documents is in the first table, however large the corpus beside it."""
+    monkeypatch.setattr(jaccard_join, "_counted", lambda *args: pytest.fail("shingles are counted again"))
+    monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", 200)
+    passage = " ".join(f"shared{k}" for k in range(25))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(500 if i >= 60 else 60)) + (" " + passage if i < 60 else ""), "en") for i in range(120)]
+    found = jaccard_join.groups(fixtures.docs(spark, rows), 5, 80, jaccard_join.MOST_FREQUENT)
+    assert fixtures.rows_of(found, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 5, 80)
+
+
 def test_python_gets_few_rows_at_once(spark):
     """Tables are written from small batches, and the session's setting is as before afterwards."""
     before = spark.conf.get(tables.BATCH)
