@@ -53,12 +53,14 @@ from pyspark.sql import functions as F
 from firstlight.llm.bloom import bloom
 from firstlight.llm.components import components
 from firstlight.llm.ragged import LOWER, chunks, mix, span_hashes, utf8, words
-from firstlight.llm.tables import discard, free_name, screened, stored
+from firstlight.llm.tables import discard, free_name, screened, small_batches, stored
 
 MOST_FREQUENT = 1 << 22
 # Learned shingles that tasks hold beside these.
 MOST_LEARNED = 1 << 21
 FEW_HOLDERS = 4
+# Rows with whole sets that a task hands to Python at once.
+SET_ROWS = 1 << 8
 BINS = 64
 MOST_BINNED = 1 << 20
 PARITY_BITS = 512
@@ -81,6 +83,16 @@ def _counts(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return tokens[first], np.diff(first, append=len(tokens))
 
 
+def _repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_counts``, those in two sets at least; arrays are made of these only."""
+    tokens = np.concatenate(held)
+    held.clear()
+    tokens.sort()
+    tokens = tokens[1:][~_firsts(tokens)[1:]]
+    first = np.flatnonzero(_firsts(tokens))
+    return tokens[first], np.diff(first, append=len(tokens)) + 1
+
+
 def _firsts(ordered: np.ndarray) -> np.ndarray:
     begins = np.ones(len(ordered), dtype=bool)
     np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
@@ -155,9 +167,8 @@ def frequent_shingles(docs: DataFrame, width: int, most: int = MOST_FREQUENT) ->
         held, rows = [], 0
 
         def flush():
-            unique, n = _counts(held)
-            many = n > 1
-            return pa.RecordBatch.from_arrays([pa.array(_signed(unique[many])), pa.array(n[many].astype(np.int64))], ["token", "n"])
+            tokens, n = _repeated(held)
+            return pa.RecordBatch.from_arrays([pa.array(_signed(tokens)), pa.array(n.astype(np.int64))], ["token", "n"])
 
         for batch in batches:
             for b in chunks(batch):
@@ -363,7 +374,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, width: int, t
 
     a = sets.select(F.col("class").alias("u"), F.col("tokens").alias("a"))
     b = sets.select(F.col("class").alias("v"), F.col("tokens").alias("b"))
-    links = stored(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long"), "jaccard-links")
+    with small_batches(docs.sparkSession, SET_ROWS):
+        links = stored(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long"), "jaccard-links")
     discard(pairs, sets)
     return links
 
@@ -565,7 +577,8 @@ def _indexed(docs: DataFrame, width: int, threshold: int, most: int) -> tuple[Da
         else:
             learned = stored(_learned(docs, width, chosen, known), "jaccard-known")
             renewed = _renewed(docs, width, threshold, chosen, learned, keys, counts)
-        renewed = stored(renewed.join(touched, "class", "left_semi"), "jaccard-renewed")
+        with small_batches(docs.sparkSession, SET_ROWS):
+            renewed = stored(renewed.join(touched, "class", "left_semi"), "jaccard-renewed")
         last, state = state, stored(state.join(touched, "class", "left_anti").union(renewed), "jaccard-state")
         discard(last, touched, renewed, learned if known is not None else None)
         rows = _rows(state)

@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession):
-    """Inside, queries hand at most ``BATCH_ROWS`` rows to Python at once."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Inside, queries hand at most ``rows`` rows to Python at once."""
     before = spark.conf.get(BATCH)
-    if not 0 < int(before) <= BATCH_ROWS:
-        spark.conf.set(BATCH, str(BATCH_ROWS))
+    if not 0 < int(before) <= rows:
+        spark.conf.set(BATCH, str(rows))
     try:
         yield
     finally:

@@ -57,3 +57,12 @@ def test_python_gets_few_rows_at_once(spark):
     found = tables.stored(spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long"), "batches")
     assert sorted(r[0] for r in found.collect())[-1] == tables.BATCH_ROWS
     assert spark.conf.get(tables.BATCH) == before
+
+
+def test_python_gets_fewer_rows_with_sets(spark):
+    before = spark.conf.get(tables.BATCH)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches)
+    with tables.small_batches(spark, 100):
+        found = tables.stored(spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long"), "batches")
+    assert sorted(r[0] for r in found.collect())[-1] == 100
+    assert spark.conf.get(tables.BATCH) == before
